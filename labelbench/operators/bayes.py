@@ -109,13 +109,12 @@ def cross_validate_naive_bayes(
     everywhere = Window.partitionBy()  # one row per fold
     others = sums.select(
         "fold",
-        F.explode(F.array(*[F.lit(float(s)) for s in smoothings])).alias("smoothing"),
         *[
             (F.sum(c).over(everywhere) - F.col(c)).alias(c)
             for c in sums.columns
             if c != "fold"
         ],
-    )
+    ).withColumn("smoothing", F.explode(F.array(*[F.lit(float(s)) for s in smoothings])))
     s, d = F.col("smoothing"), len(features)
 
     def weights(c: int) -> list[Column]:
