@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from typing import Any
 
-from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml import Model, Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,17 +23,24 @@ def build_pipeline(features: Sequence[str], classifier, target: str | None = "go
     return Pipeline(stages=[*stages, assembler(features), classifier])
 
 
-def fit(pipeline, train: DataFrame, params: Mapping[Any, Any] | None = None) -> PipelineModel:
+@contextmanager
+def held(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep rows in memory, spilling to disk, while many fits read them."""
+    kept = df.persist()
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
+def fit(pipeline, train: DataFrame, params: Mapping[Any, Any] | None = None) -> Model:
     """Fit, with ``{estimator.param: value}`` overrides.
 
-    Training passes over its input many times: ``train`` is held in memory, spilling to disk, for
-    the duration of the fit.
+    Spark's estimators keep their own prepared copy of the rows in memory, so a single fit reads
+    ``train`` two or three times only: give stored rows rather than :func:`held` ones, which would
+    be in memory twice. Many fits on the same rows are what :func:`held` is for.
     """
-    held = train.persist()
-    try:
-        return pipeline.fit(held, dict(params or {}))
-    finally:
-        held.unpersist()
+    return pipeline.fit(train, dict(params or {}))
 
 
 def score(model: Model, test: DataFrame) -> DataFrame:

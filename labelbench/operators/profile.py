@@ -59,3 +59,12 @@ def outliers(
         .where(F.abs("z") > deviations)
         .select(*keys, "feature", "value", "z")
     )
+
+
+def fit_line(df: DataFrame, target: str, feature: str) -> tuple[float, float] | None:
+    """(intercept, slope) of the least-squares line, in one aggregation; None if undefined."""
+    line = df.agg(
+        F.regr_intercept(target, feature).alias("intercept"),
+        F.regr_slope(target, feature).alias("slope"),
+    ).first()
+    return None if line["slope"] is None else (line["intercept"], line["slope"])

@@ -243,6 +243,12 @@ SELECT l_orderkey, l_linenumber, {QUANTITY} AS quality, {_good(QUANTITY)} AS goo
 SELECT l_orderkey, l_linenumber, {_good(QUANTITY)} AS label, {', '.join(ITEM_FEATURES)}
 FROM lineitem
 WHERE l_quantity IS NOT NULL AND {' AND '.join(f'{f} IS NOT NULL' for f in ITEM_FEATURES)}""",
+    "parse_any_width": " UNION ALL ".join(
+        f"SELECT l_orderkey, l_linenumber, {_good(QUANTITY)} AS label, "
+        f"CAST({i} AS INTEGER) AS position, {f} AS value FROM lineitem "
+        f"WHERE l_quantity IS NOT NULL AND {' AND '.join(f'{g} IS NOT NULL' for g in ITEM_FEATURES)}"
+        for i, f in enumerate(ITEM_FEATURES)
+    ),
     "header_removed": """
 SELECT concat_ws(';', o_orderkey, o_custkey, o_orderstatus, o_orderpriority) AS line FROM orders""",
     "csv_scan": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
@@ -330,7 +336,9 @@ FROM lineitem GROUP BY 1, 2""",
     "quality_regression": f"""
 WITH {REGRESSION}
 SELECT round(max(intercept), 6) AS intercept, round(max(slope), 9) AS slope,
-       (SELECT count(*) FROM scored) AS n FROM line""",
+       (SELECT count(*) FROM scored) AS n,
+       (SELECT round(avg(abs(prediction - label)), 6) FROM scored) AS mad
+FROM line""",
     "mad": f"""
 WITH {REGRESSION} SELECT count(*) AS n, round(avg(abs(prediction - label)), 6) AS mad FROM scored""",
     "confusion_tolerance": f"""

@@ -19,7 +19,7 @@ from labelbench.operators.features import (
     select_features,
 )
 from labelbench.operators.gini import gini_splits
-from labelbench.shared import cut, scratch_path
+from labelbench.shared import balanced, cut, scratch_path
 from labelbench.sources.delimited import (
     drop_header,
     parse_lines,
@@ -56,7 +56,7 @@ def _items(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stored_samples(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents, measured once and stored: every fit and score reads the small rows."""
-    return cut(text_samples(spark, folder))
+    return cut(balanced(text_samples(spark, folder)))
 
 
 def _vector_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -81,22 +81,34 @@ def threshold_label_udf(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "part").select("p_partkey", "p_size", label("p_size").alias("good"))
 
 
-def parse_delimited(spark: SparkSession, folder: str) -> DataFrame:
-    fields = [
-        F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ITEM_FEATURES
-    ] + [F.coalesce(_quality("l_quantity").cast("string"), F.lit(""))]
+def _parsed_items(spark: SparkSession, folder: str, n_features: int | None) -> DataFrame:
+    fields = [F.col(c).cast("string") for c in ITEM_FEATURES]
+    fields.append(_quality("l_quantity").cast("string"))
     lines = table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.concat_ws(";", *fields).alias("value")
-    )
-    parsed = parse_lines(
-        lines, n_features=len(ITEM_FEATURES), good_from=GOOD_SIZE_FROM, permissive=True
-    )
-    values = vector_to_array("features")
-    return parsed.where(~F.col("malformed")).select(
         "l_orderkey",
         "l_linenumber",
-        "label",
-        *[values[i].alias(name) for i, name in enumerate(ITEM_FEATURES)],
+        F.concat_ws(";", *[F.coalesce(f, F.lit("")) for f in fields]).alias("value"),
+    )
+    parsed = parse_lines(lines, n_features, GOOD_SIZE_FROM, permissive=True)
+    return parsed.where(~F.col("malformed"))
+
+
+def parse_delimited(spark: SparkSession, folder: str) -> DataFrame:
+    return (
+        _parsed_items(spark, folder, len(ITEM_FEATURES))
+        .withColumn("values", vector_to_array("features"))
+        .select(
+            "l_orderkey",
+            "l_linenumber",
+            "label",
+            *[F.get("values", F.lit(i)).alias(name) for i, name in enumerate(ITEM_FEATURES)],
+        )
+    )
+
+
+def parse_any_width(spark: SparkSession, folder: str) -> DataFrame:
+    return explode_vector(
+        _parsed_items(spark, folder, None), ["l_orderkey", "l_linenumber", "label"]
     )
 
 
@@ -400,38 +412,43 @@ def group_mean(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(means, ["mean"])
 
 
-def _item_regression(spark: SparkSession, folder: str):
-    """Quantity as regression target of the price, fitted on the train rows."""
+def _priced_items(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Quantity as regression target of the price."""
     rows = table(spark, folder, "lineitem").where(
         F.col("l_quantity").isNotNull() & F.col("l_extendedprice").isNotNull()
     )
-    samples = assemble(
+    return splits.hash_split(
         rows.select("l_orderkey", F.col("l_quantity").alias("label"), "l_extendedprice"),
-        ["l_extendedprice"],
-    ).select("l_orderkey", "label", "features")
-    train, test = splits.hash_split(samples, "l_orderkey")
-    # One pass over the rows: the normal equations need no repeated reads, so nothing is held.
-    return estimator("linear_regression").fit(train), test
+        "l_orderkey",
+    )
 
 
 def quality_regression(spark: SparkSession, folder: str) -> DataFrame:
-    model, test = _item_regression(spark, folder)
-    scored = metrics.mean_absolute_deviation(pipelines.score(model, test))
-    return scored.select(
+    train, test = _priced_items(spark, folder)
+    model = estimator("linear_regression").fit(assemble(train, ["l_extendedprice"]))
+    scored = pipelines.score(model, assemble(test, ["l_extendedprice"]))
+    return metrics.mean_absolute_deviation(scored).select(
         F.round(F.lit(model.intercept), 6).alias("intercept"),
         F.round(F.lit(float(model.coefficients[0])), 9).alias("slope"),
         "n",
+        F.round("mad", 6).alias("mad"),
     )
 
 
+def _line_scored(spark: SparkSession, folder: str) -> DataFrame:
+    """The same regression in closed form: one aggregation, then one projection."""
+    train, test = _priced_items(spark, folder)
+    intercept, slope = profile.fit_line(train, "label", "l_extendedprice")
+    prediction = F.lit(intercept) + F.lit(slope) * F.col("l_extendedprice")
+    return test.select("label", prediction.alias("prediction"))
+
+
 def mad(spark: SparkSession, folder: str) -> DataFrame:
-    model, test = _item_regression(spark, folder)
-    return _rounded(metrics.mean_absolute_deviation(pipelines.score(model, test)), ["mad"])
+    return _rounded(metrics.mean_absolute_deviation(_line_scored(spark, folder)), ["mad"])
 
 
 def confusion_tolerance(spark: SparkSession, folder: str) -> DataFrame:
-    model, test = _item_regression(spark, folder)
-    return _rounded(metrics.within_tolerance(pipelines.score(model, test), 5.0), ["mad"])
+    return _rounded(metrics.within_tolerance(_line_scored(spark, folder), 5.0), ["mad"])
 
 
 def forest_regression(spark: SparkSession, folder: str) -> DataFrame:
@@ -444,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "threshold_label": threshold_label,
     "threshold_label_udf": threshold_label_udf,
     "parse_delimited": parse_delimited,
+    "parse_any_width": parse_any_width,
     "header_removed": header_removed,
     "csv_scan": csv_scan,
     "csv_scan_inferred": csv_scan_inferred,

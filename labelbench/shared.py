@@ -40,3 +40,12 @@ def cut(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    """Even out partition sizes by the rows as they are now.
+
+    A few numbers per text leave the partitions of a text scan almost empty, and every iteration
+    of a fit would pay for each of them. Spark merges and splits by the measured sizes.
+    """
+    return df.hint("rebalance")

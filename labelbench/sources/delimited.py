@@ -86,7 +86,7 @@ def split_bad_lines(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def parse_lines(
     lines: DataFrame,
-    n_features: int = len(FEATURES),
+    n_features: int | None = len(FEATURES),
     good_from: int = GOOD_FROM,
     sep: str = ";",
     column: str = "value",
@@ -96,26 +96,46 @@ def parse_lines(
 
     Other columns are kept. A malformed line (wrong field count, a field that is no number, an
     empty trailing field) is an error, or with ``permissive`` a row with ``malformed`` true and
-    null ``label`` and ``features``. All work is in built-in expressions.
+    null ``label`` and ``features``. All work is in built-in expressions. A known width is read
+    field by field, in generated code; with ``n_features`` None a line may have any number of
+    features, at about twice the cost.
     """
-    fields = F.split(F.col(column), re.escape(sep), -1)
-    parsed = lines.withColumn("_fields", fields).select(
-        *[F.col(f"`{c}`") for c in lines.columns],
-        F.element_at("_fields", -1).try_cast("int").alias("_quality"),
-        F.transform(
-            F.slice("_fields", F.lit(1), F.size("_fields") - 1),
-            lambda field: field.try_cast("double"),
-        ).alias("_values"),
-    )
-    well_formed = F.coalesce(
-        (F.size("_values") == n_features)
-        & F.col("_quality").isNotNull()
-        & ~F.exists("_values", lambda value: value.isNull()),
-        F.lit(False),
-    )
-    label = good_label("_quality", good_from)
-    features = array_to_vector("_values")
     rest = [F.col(f"`{c}`") for c in lines.columns if c != column]
+    split = lines.withColumn("_fields", F.split(F.col(column), re.escape(sep), -1))
+    if n_features is None:
+        parsed = split.select(
+            *rest,
+            column,
+            F.element_at("_fields", -1).try_cast("int").alias("_quality"),
+            F.transform(
+                F.slice("_fields", F.lit(1), F.size("_fields") - 1),
+                lambda field: field.try_cast("double"),
+            ).alias("_values"),
+        )
+        values = F.col("_values")
+        well_formed = (
+            (F.size(values) > 0)
+            & F.col("_quality").isNotNull()
+            & ~F.exists(values, lambda value: value.isNull())
+        )
+    else:
+        names = [f"_value{i}" for i in range(n_features)]
+        parsed = split.select(
+            *rest,
+            column,
+            F.size("_fields").alias("_width"),
+            F.get("_fields", F.lit(n_features)).try_cast("int").alias("_quality"),
+            *[
+                F.get("_fields", F.lit(i)).try_cast("double").alias(name)
+                for i, name in enumerate(names)
+            ],
+        )
+        values = F.array(*names)
+        well_formed = (F.col("_width") == n_features + 1) & F.col("_quality").isNotNull()
+        for name in names:
+            well_formed = well_formed & F.col(name).isNotNull()
+    well_formed = F.coalesce(well_formed, F.lit(False))
+    label, features = good_label("_quality", good_from), array_to_vector(values)
     if permissive:
         return parsed.select(
             *rest,
@@ -123,7 +143,7 @@ def parse_lines(
             F.when(well_formed, features).alias("features"),
             (~well_formed).alias("malformed"),
         )
-    error = F.raise_error(F.concat(F.lit("malformed line: "), F.col(column)))
+    error = F.raise_error(F.concat(F.lit("malformed line: "), F.coalesce(F.col(column), F.lit(""))))
     return parsed.select(
         *rest,
         F.when(well_formed, label).otherwise(error).alias("label"),
