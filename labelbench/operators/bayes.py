@@ -70,6 +70,11 @@ def predict_naive_bayes(df: DataFrame, model: DataFrame, features: Sequence[str]
         for row in rows
     ]
     # The best score wins, the lower label on a tie.
+    if [row["label"] for row in rows] == [0.0, 1.0]:
+        margin = F.col("margin")
+        return df.withColumn("margin", scores[1] - scores[0]).withColumn(
+            "prediction", F.when(margin > 0, 1.0).otherwise(0.0)
+        )
     best = F.array_max(
         F.array(
             *[
@@ -78,10 +83,7 @@ def predict_naive_bayes(df: DataFrame, model: DataFrame, features: Sequence[str]
             ]
         )
     )
-    prediction = F.abs(best["minus_label"])
-    if [row["label"] for row in rows] == [0.0, 1.0]:
-        return df.withColumns({"margin": scores[1] - scores[0], "prediction": prediction})
-    return df.withColumn("prediction", prediction)
+    return df.withColumn("prediction", F.abs(best["minus_label"]))
 
 
 def cross_validate_naive_bayes(

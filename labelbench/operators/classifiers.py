@@ -34,7 +34,10 @@ CLASSIFIERS: dict[str, tuple[type, dict[str, Any]]] = {
             "maxBins": 32,
         },
     ),
-    "linear_svm": (LinearSVC, {"maxIter": 100, "regParam": 0.01, "fitIntercept": False}),
+    "linear_svm": (
+        LinearSVC,
+        {"maxIter": 100, "regParam": 0.01, "fitIntercept": False, "tol": 1e-3},
+    ),
     "boosted_trees": (GBTClassifier, {"maxIter": 40, "maxDepth": 5, "stepSize": 0.1}),
     "naive_bayes": (NaiveBayes, {"smoothing": 1.0, "modelType": "multinomial"}),
 }

@@ -89,14 +89,11 @@ def ranked_roc(
     ever spans all scores.
     """
     by = list(by)
-    y = F.col(label)
-    counts = (
-        df.where(F.col(score).isNotNull() & y.isNotNull())
-        .groupBy(*by, F.col(score).alias("score"))
-        .agg(
-            F.count_if(y == 1).cast("double").alias("pos"),
-            F.count_if(y == 0).cast("double").alias("neg"),
-        )
+    # Conditions sit inside the counts: a filter on the score would compute it twice per row.
+    y, ranked = F.col(label), F.col(score).isNotNull()
+    counts = df.groupBy(*by, F.col(score).alias("score")).agg(
+        F.count_if((y == 1) & ranked).cast("double").alias("pos"),
+        F.count_if((y == 0) & ranked).cast("double").alias("neg"),
     )
     below = (
         Window.partitionBy("part", *by)

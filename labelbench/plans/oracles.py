@@ -275,11 +275,19 @@ FROM orders GROUP BY 1""",
 SELECT o_orderkey, CASE WHEN {_is_train('o_orderkey')} THEN 'train' ELSE 'test' END AS split
 FROM orders""",
     "preview_rows": f"""
-WITH {SAMPLES}
-SELECT doc_id, label, {', '.join(TEXT_FEATURES)} FROM samples ORDER BY doc_id LIMIT 3""",
+SELECT p_partkey, p_size, p_retailprice, {_good('p_size')} AS good
+FROM part ORDER BY p_partkey LIMIT 3""",
+    "preview_samples": f"""
+WITH firsts AS (
+  SELECT p_partkey, {_good('p_size')} AS label, CAST(p_size AS DOUBLE) AS v0, p_retailprice AS v1
+  FROM part WHERE p_size IS NOT NULL AND p_retailprice IS NOT NULL ORDER BY p_partkey LIMIT 3
+)
+SELECT p_partkey, label, CAST(0 AS INTEGER) AS position, v0 AS value FROM firsts
+UNION ALL
+SELECT p_partkey, label, CAST(1 AS INTEGER) AS position, v1 AS value FROM firsts""",
     "fold_counts": f"SELECT {_fold('o_orderkey')} AS fold, count(*) AS n FROM orders GROUP BY 1",
     "param_grid": f"""
-WITH {TRAIN_TEST},
+WITH train AS (SELECT * FROM labels WHERE quality IS NOT NULL AND {_is_train('doc_id')}),
 sizes AS (SELECT {_fold('doc_id')} AS fold, count(*) AS n_valid FROM train GROUP BY 1)
 SELECT fold, n_valid, (SELECT count(*) FROM train) - n_valid AS n_train,
        CAST(num_trees AS INTEGER) AS num_trees, CAST(max_depth AS INTEGER) AS max_depth

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from labelbench.functions.labels import good_label, good_label_udf
@@ -60,8 +60,9 @@ def _stored_samples(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _vector_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    samples = assemble(_stored_samples(spark, folder), TEXT_FEATURES)
-    return splits.hash_split(samples.select("doc_id", "label", "features"), "doc_id")
+    """(train, test) of stored labelled vectors."""
+    samples = assemble(balanced(text_samples(spark, folder)), TEXT_FEATURES)
+    return splits.hash_split(cut(samples.select("doc_id", "label", "features")), "doc_id")
 
 
 # --- scans and parsing -------------------------------------------------------------------------
@@ -175,7 +176,18 @@ def random_split_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def preview_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return splits.preview(text_samples(spark, folder), 3, ["doc_id"])
+    parts = table(spark, folder, "part").select(
+        "p_partkey", "p_size", "p_retailprice", good_label("p_size", GOOD_SIZE_FROM).alias("good")
+    )
+    return splits.preview(parts, 3, ["p_partkey"])
+
+
+def preview_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """The first labelled vectors. Rows are cut before vectors are built."""
+    parts = table(spark, folder, "part").where("p_size IS NOT NULL AND p_retailprice IS NOT NULL")
+    first = assemble(splits.preview(parts, 3, ["p_partkey"]), ["p_size", "p_retailprice"])
+    samples = first.withColumn("label", good_label("p_size", GOOD_SIZE_FROM))
+    return explode_vector(samples, ["p_partkey", "label"])
 
 
 def fold_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -184,12 +196,17 @@ def fold_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def param_grid(spark: SparkSession, folder: str) -> DataFrame:
-    """The rows every fit of the published search trains and validates on."""
-    train, _ = splits.hash_split(text_samples(spark, folder), "doc_id")
+    """How many labelled rows each fit of the published search trains and validates on."""
+    labels = table(spark, folder, "labels").where(F.col("quality").isNotNull())
+    train, _ = splits.hash_split(labels, "doc_id")
     sizes = splits.split_counts(splits.with_folds(train, "doc_id"), "fold")
-    total = train.agg(F.count("*").alias("n_all")).scalar()
+    folds = Window.partitionBy()  # one row per fold
     return tuning.with_grid(
-        sizes.select("fold", F.col("n").alias("n_valid"), (total - F.col("n")).alias("n_train"))
+        sizes.select(
+            "fold",
+            F.col("n").alias("n_valid"),
+            (F.sum("n").over(folds) - F.col("n")).alias("n_train"),
+        )
     )
 
 
@@ -471,6 +488,7 @@ QUERIES: dict[str, Query] = {
     "split_rows": split_rows,
     "random_split_counts": random_split_counts,
     "preview_rows": preview_rows,
+    "preview_samples": preview_samples,
     "fold_counts": fold_counts,
     "param_grid": param_grid,
     "nb_model": nb_model,

@@ -103,37 +103,34 @@ def parse_lines(
     rest = [F.col(f"`{c}`") for c in lines.columns if c != column]
     split = lines.withColumn("_fields", F.split(F.col(column), re.escape(sep), -1))
     if n_features is None:
-        parsed = split.select(
-            *rest,
-            column,
-            F.element_at("_fields", -1).try_cast("int").alias("_quality"),
-            F.transform(
+        read = {
+            "_quality": F.element_at("_fields", -1).try_cast("int"),
+            "_values": F.transform(
                 F.slice("_fields", F.lit(1), F.size("_fields") - 1),
                 lambda field: field.try_cast("double"),
-            ).alias("_values"),
-        )
+            ),
+        }
         values = F.col("_values")
-        well_formed = (
-            (F.size(values) > 0)
-            & F.col("_quality").isNotNull()
-            & ~F.exists(values, lambda value: value.isNull())
-        )
+        well_formed = (F.size(values) > 0) & ~F.exists(values, lambda value: value.isNull())
     else:
         names = [f"_value{i}" for i in range(n_features)]
-        parsed = split.select(
-            *rest,
-            column,
-            F.size("_fields").alias("_width"),
-            F.get("_fields", F.lit(n_features)).try_cast("int").alias("_quality"),
-            *[
-                F.get("_fields", F.lit(i)).try_cast("double").alias(name)
+        read = {
+            "_quality": F.get("_fields", F.lit(n_features)).try_cast("int"),
+            "_width": F.size("_fields"),
+            **{
+                name: F.get("_fields", F.lit(i)).try_cast("double")
                 for i, name in enumerate(names)
-            ],
-        )
+            },
+        }
         values = F.array(*names)
-        well_formed = (F.col("_width") == n_features + 1) & F.col("_quality").isNotNull()
+        well_formed = F.col("_width") == n_features + 1
         for name in names:
             well_formed = well_formed & F.col(name).isNotNull()
+    # Read through a one-element array: a filter on the outcome then stays above this step, where
+    # it would otherwise be pushed below and split the line again for every field it looks at.
+    fields = F.struct(*[value.alias(name) for name, value in read.items()])
+    parsed = split.select(*rest, column, F.inline(F.array(fields)))
+    well_formed = well_formed & F.col("_quality").isNotNull()
     well_formed = F.coalesce(well_formed, F.lit(False))
     label, features = good_label("_quality", good_from), array_to_vector(values)
     if permissive:
