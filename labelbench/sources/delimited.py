@@ -68,12 +68,16 @@ def read_delimited(
     if not permissive:
         return reader.option("mode", "FAILFAST").schema(schema).csv(path)
     flagged = T.StructType(schema.fields + [T.StructField(BAD_LINE, T.StringType())])
-    return (
+    scanned = (
         reader.option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_LINE)
         .schema(flagged)
         .csv(path)
     )
+    # Whether a row is well-formed depends on all its fields, so none may be pruned away: each row
+    # passes through a one-element array of the whole row.
+    whole = F.struct(*[F.col(f"`{name}`") for name in flagged.names])
+    return scanned.select(F.inline(F.array(whole)))
 
 
 def split_bad_lines(df: DataFrame) -> tuple[DataFrame, DataFrame]:
