@@ -1,4 +1,4 @@
-"""The estimators, by short name, with the course's parameters as defaults."""
+"""The estimators by short name, with their published parameters as defaults."""
 
 from __future__ import annotations
 

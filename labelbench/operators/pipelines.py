@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from labelbench.operators.features import assembler, frequency_indexer
 from labelbench.operators.metrics import pairs
+from labelbench.shared import shared_folder
 
 
 def build_pipeline(features: Sequence[str], classifier, target: str | None = "good") -> Pipeline:
@@ -38,8 +39,10 @@ def fit(pipeline, train: DataFrame, params: Mapping[Any, Any] | None = None) ->
 
     Spark's estimators keep their own prepared copy of the rows in memory, so a single fit reads
     ``train`` two or three times only: give stored rows rather than :func:`held` ones, which would
-    be in memory twice. Many fits on the same rows are what :func:`held` is for.
+    be in memory twice. Many fits on the same rows are what :func:`held` is for. Boosting cuts its
+    own lineage every few trees, in the shared folder.
     """
+    shared_folder(train.sparkSession)
     return pipeline.fit(train, dict(params or {}))
 
 
