@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from typing import Any
 
 from pyspark.ml import Model, Pipeline
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelbench.operators.features import assembler, frequency_indexer
@@ -51,24 +52,44 @@ def score(model: Model, test: DataFrame) -> DataFrame:
     return pairs(model.transform(test))
 
 
-def score_together(models: Mapping[str, Model], test: DataFrame) -> DataFrame:
-    """(model, prediction, label) of every row and model from one scan of ``test``.
+def _side_by_side(
+    models: Mapping[str, Model], df: DataFrame, output: str, column: Callable[[str], Column]
+) -> DataFrame:
+    """(model, value, label) of every row and model from one scan of ``df``.
 
-    Each model adds one column; the columns become rows at the end. Unneeded outputs are off.
+    Each model adds one column, named by its ``output`` parameter, with its other outputs off; the
+    columns become rows at the end.
     """
-    wide = test
-    for i, model in enumerate(models.values()):
-        one = model.copy().setPredictionCol(f"_p{i}").setRawPredictionCol("")
-        if one.hasParam("probabilityCol"):
-            one = one.setProbabilityCol("")
+    wide, rows = df, []
+    for i, (name, model) in enumerate(models.items()):
+        added = f"_{output}{i}"
+        one = model.copy(
+            {
+                model.getParam(param): added if param == output else ""
+                for param in ("predictionCol", "rawPredictionCol", "probabilityCol")
+                if model.hasParam(param)
+            }
+        )
         wide = one.transform(wide)
-    rows = [
-        F.struct(F.lit(name).alias("model"), F.col(f"_p{i}").alias("prediction"))
-        for i, name in enumerate(models)
-    ]
-    return wide.select("label", F.explode(F.array(*rows)).alias("_s")).select(
-        "_s.model", "_s.prediction", "label"
+        rows.append(F.struct(F.lit(name).alias("model"), column(added).alias("value")))
+    long = wide.select("label", F.explode(F.array(*rows)).alias("_row"))
+    return long.select("_row.model", "_row.value", "label")
+
+
+def score_together(models: Mapping[str, Model], test: DataFrame) -> DataFrame:
+    """(model, prediction, label) of every test row and model, in one scan."""
+    scored = _side_by_side(models, test, "predictionCol", F.col)
+    return scored.withColumnRenamed("value", "prediction")
+
+
+def rank_together(
+    models: Mapping[str, Model], test: DataFrame, output: str = "rawPredictionCol"
+) -> DataFrame:
+    """(model, score, label): the value each model gives to class 1, in one scan."""
+    ranked = _side_by_side(
+        models, test, output, lambda name: F.get(vector_to_array(name), F.lit(1))
     )
+    return ranked.withColumnRenamed("value", "score")
 
 
 def vote(forest, test: DataFrame) -> DataFrame:

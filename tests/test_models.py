@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from labelbench.operators import pipelines, splits, tuning
 from labelbench.operators.classifiers import CLASSIFIERS, DEEP_TREES, estimator
 from labelbench.operators.features import assemble
-from labelbench.operators.metrics import binary_report
+from labelbench.operators.metrics import binary_report, ranked_roc
 from labelbench.shared import cut
 from labelbench.sources import TEXT_FEATURES, text_samples
 
@@ -137,6 +137,19 @@ def test_cross_validation_equals_the_library(data):
     )
 
 
+def test_ranking_together_equals_the_evaluator(data):
+    train, test = data
+    models = {
+        name: estimator(name, **({"seed": 11} if name in SEEDED else {})).fit(train)
+        for name in ("random_forest", "decision_tree", "logistic_regression", "naive_bayes")
+    }
+    ranked = ranked_roc(pipelines.rank_together(models, test), "score", by=["model"])
+    found = {r["model"]: r["roc"] for r in ranked.collect()}
+    for name, model in models.items():
+        expected = tuning.ranked_evaluator().evaluate(model.transform(test))
+        assert found[name] == pytest.approx(expected, abs=1e-12)
+
+
 def test_cross_validation_takes_a_pipeline(data):
     train, test = (df.drop("features").withColumnRenamed("label", "good") for df in data)
     forest = estimator("random_forest", seed=11)
