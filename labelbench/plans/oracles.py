@@ -326,6 +326,27 @@ scores AS (SELECT l_returnflag, label, l_extendedprice AS score FROM items),
     "confusion_matrix": f"""
 WITH {NB_SCORED} SELECT label, prediction, count(*) AS n FROM scored GROUP BY 1, 2""",
     "nb_holdout": f"WITH {NB_SCORED}, {_report('scored', model='naive_bayes')}",
+    "feature_selection": f"WITH {SAMPLES}, long AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, {f} AS value, label FROM samples" for f in TEXT_FEATURES
+    )
+    + """),
+classes AS (
+  SELECT feature, label, count(value) AS n, avg(value) AS mean, var_pop(value) AS var
+  FROM long GROUP BY feature, label
+),
+overall AS (
+  SELECT *, sum(n * mean) OVER w / sum(n) OVER w AS all_mean
+  FROM classes WINDOW w AS (PARTITION BY feature)
+),
+f AS (
+  SELECT feature, sum(n * power(mean - all_mean, 2)) / (count(*) - 1)
+                  / (sum(n * var) / (sum(n) - count(*))) AS f_value
+  FROM overall GROUP BY feature
+)
+SELECT feature, round(f_value, 6) AS f_value,
+       row_number() OVER (ORDER BY f_value DESC, feature) <= 3 AS selected
+FROM f""",
     "feature_correlation": f"WITH {SAMPLES} "
     + " UNION ALL ".join(
         f"SELECT '{a}' AS \"left\", '{b}' AS \"right\", round(corr({a}, {b}), 6) AS corr FROM samples"

@@ -12,12 +12,7 @@ from pyspark.sql import functions as F
 from labelbench.functions.labels import good_label, good_label_udf
 from labelbench.operators import bayes, metrics, pipelines, profile, splits, tuning
 from labelbench.operators.classifiers import estimator
-from labelbench.operators.features import (
-    assemble,
-    explode_vector,
-    frequency_indexer,
-    select_features,
-)
+from labelbench.operators.features import assemble, explode_vector, frequency_indexer
 from labelbench.operators.gini import gini_splits
 from labelbench.shared import balanced, cut, scratch_path
 from labelbench.sources.delimited import (
@@ -407,9 +402,7 @@ def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def feature_selection(spark: SparkSession, folder: str) -> DataFrame:
-    samples = _stored_samples(spark, folder)
-    chosen = select_features(samples, TEXT_FEATURES)
-    return splits.preview(samples.select("doc_id", "label", *chosen), 3, ["doc_id"])
+    return _rounded(profile.anova(text_samples(spark, folder), TEXT_FEATURES), ["f_value"])
 
 
 def feature_correlation(spark: SparkSession, folder: str) -> DataFrame:

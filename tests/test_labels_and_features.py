@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from labelbench.operators.features import (
     frequency_indexer,
     select_features,
 )
-from labelbench.operators.profile import correlations, fit_line, outliers
+from labelbench.operators.profile import anova, correlations, fit_line, outliers
 
 
 def test_threshold_edges(spark):
@@ -57,6 +58,20 @@ def _signal(spark):
 
 def test_feature_selection_finds_the_signal(spark):
     assert select_features(_signal(spark), ["weak", "strong"], threshold=1) == ["strong"]
+    rows = {r["feature"]: r for r in anova(_signal(spark), ["weak", "strong"], top=1).collect()}
+    assert rows["strong"]["selected"] and not rows["weak"]["selected"]
+
+
+def test_anova_equals_the_textbook(spark):
+    df = _signal(spark)
+    table = np.array([tuple(r) for r in df.select("label", "weak", "strong").collect()])
+    found = {r["feature"]: r["f_value"] for r in anova(df, ["weak", "strong"]).collect()}
+    for i, name in enumerate(["weak", "strong"], start=1):
+        groups = [table[table[:, 0] == c][:, i] for c in (0, 1)]
+        between = sum(len(g) * (g.mean() - table[:, i].mean()) ** 2 for g in groups)
+        inside = sum(((g - g.mean()) ** 2).sum() for g in groups) / (len(table) - 2)
+        assert found[name] == pytest.approx(between / inside)
+    assert anova(df.where("label = 1"), ["weak"]).first()["f_value"] is None
 
 
 def test_correlation_names_every_pair(spark):
