@@ -7,6 +7,8 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from labelbench.operators.classifiers import CLASSIFIERS
+from labelbench.operators.tuning import DEPTHS, TREES
 from labelbench.plans.workflows import classify_lines, classify_table
 
 WORKFLOWS = {"lines": classify_lines, "table": classify_table}
@@ -18,7 +20,7 @@ def main() -> None:
     spark = SparkSession.builder.appName("labelbench").getOrCreate()
     run = WORKFLOWS[sys.argv[1]](spark, sys.argv[2])
     for part in (run.preview, run.counts, run.reports):
-        part.show(truncate=False)
+        part.show(len(CLASSIFIERS) + len(TREES) * len(DEPTHS), truncate=False)  # the longest table
     spark.stop()
 
 

@@ -67,6 +67,7 @@ def classify_lines(
     reports = metrics.binary_report(scored, ["model"]).select("model", *metrics.REPORT)
     tuned = _seeded("random_forest", seed, **DEEP_TREES)
     swept = tuning.sweep(tuned, tuning.forest_grid(tuned, trees, depths), train, test, parallelism)
+    swept = swept.withColumn("model", F.concat(F.lit("random_forest, "), F.col("model")))
     return Run(
         preview=splits.preview(samples.select("label", "features")),
         counts=splits.split_counts(samples),
