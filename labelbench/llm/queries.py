@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelbench.llm import cuckoo, mixing, sharding
+import public_tokenizers
+
+from labelbench.llm import bpe, cuckoo, lines, mixing, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,10 +34,32 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cuckoo.exact_duplicates(_table(spark, folder, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    return lines.drop_repeated_lines(documents, min_docs=10, min_chars=1).select(
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.encode(_table(spark, folder, "documents"), vocabulary).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_sharding": op2_sharding,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_line_dedup": op4_line_dedup,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLES = {
@@ -53,4 +77,25 @@ ORACLES = {
         FROM d
         WINDOW w AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id NULLS LAST)
     """,
+    "op4_line_dedup": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS nr, doc_id,
+                string_split(coalesce(text, ''), chr(10)) AS lines
+            FROM documents
+        ), l AS (
+            SELECT nr, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d
+        ), k AS (
+            SELECT nr, pos, line, translate(
+                trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+            FROM l
+        ), gone AS (
+            SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT nr) >= 10
+        )
+        SELECT d.doc_id, count(*) AS n_lines, count(gone.key) AS n_dropped,
+            sha256(coalesce(string_agg(k.line, chr(10) ORDER BY pos)
+                FILTER (WHERE gone.key IS NULL), '')) AS kept_sha256
+        FROM d JOIN k USING (nr) LEFT JOIN gone USING (key)
+        GROUP BY nr, d.doc_id
+    """,
 }
