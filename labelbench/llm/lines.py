@@ -18,13 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelbench.llm.batches import column, text_bytes
+from labelbench.llm.bloom import SENT_BYTES, bits_for, by_slice, joined, maybe_in, packed, positions, slice_count
 from labelbench.shared import cut
 
 SPACES = b" \t\n\x0b\x0c\r"
-DOCS_PER_SLICE = 4096
-BITS_PER_KEY = 12
-PROBES = 4
-FILTER_BYTES = 64 << 20  # of all second filters that may be sent to the tasks
 SENT_KEYS = 500_000  # confirmed lines that may be sent to the tasks
 
 
@@ -45,47 +42,29 @@ def _hashes(digests: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(digests), "<u8").reshape(-1, 2)[:, 0]
 
 
-def _bits(keys: int) -> int:
-    return 1 << max(6, (keys * BITS_PER_KEY - 1).bit_length())
-
-
-def _positions(hashes: np.ndarray, bits) -> np.ndarray:
-    """``PROBES`` positions below ``bits``, a power of two, for each hash."""
-    step = (hashes >> np.uint64(17)) | np.uint64(1)
-    mask = np.asarray(bits, np.uint64) - np.uint64(1)
-    mixed = hashes * np.uint64(0x9E3779B97F4A7C15)
-    return np.stack([((mixed + np.uint64(i) * step) >> np.uint64(13)) & mask for i in range(PROBES)])
-
-
 def _slice_filters(pdf: pd.DataFrame) -> pd.DataFrame:
     """The hashes of one slice through both filters; out comes the second, packed."""
-    bits = _bits(sum(map(len, pdf["hashes"])) // 8)
+    bits = bits_for(sum(map(len, pdf["hashes"])) // 8)
     once, twice = np.zeros(bits, bool), np.zeros(bits, bool)
     for blob in pdf["hashes"]:
         hashes, counts = np.unique(np.frombuffer(blob, "<u8"), return_counts=True)
-        at = _positions(hashes, bits)
+        at = positions(hashes, bits)
         again = (counts > 1) | once[at].all(axis=0)
         twice[at[:, again]] = True
         once[at] = True
     # Few hashes are in the second filter: they go into one of their own size.
     repeated = [
-        hashes[twice[_positions(hashes, bits)].all(axis=0)]
+        hashes[twice[positions(hashes, bits)].all(axis=0)]
         for hashes in (np.frombuffer(blob, "<u8") for blob in pdf["hashes"])
     ]
-    repeated = np.unique(np.concatenate(repeated))
-    small = np.zeros(_bits(len(repeated)), bool)
-    small[_positions(repeated, len(small))] = True
     return pd.DataFrame(
-        {
-            "slice": pdf["slice"].iloc[:1],
-            "packed": [np.packbits(small, bitorder="little").tobytes()],
-        }
+        {"slice": pdf["slice"].iloc[:1], "packed": [packed(np.unique(np.concatenate(repeated)))]}
     )
 
 
 def repeat_filters(docs: DataFrame, min_chars: int = 1) -> tuple[DataFrame, int]:
     """(``slice``, ``packed``): the filters of hashes of lines seen in two documents; slice count."""
-    slices = 1 << max(0, (docs.count() // DOCS_PER_SLICE).bit_length())
+    slices = slice_count(docs.count())
     schema = pa.schema([("slice", pa.int64()), ("hashes", pa.binary())])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,12 +75,10 @@ def repeat_filters(docs: DataFrame, min_chars: int = 1) -> tuple[DataFrame, int]
                 found += [line_digest(k) for k in keys if _long_enough(k, min_chars)]
             hashes, counts = np.unique(_hashes(found), return_counts=True)
             hashes = np.concatenate([hashes, hashes[counts > 1]])  # two are as good as more
-            at = hashes & np.uint64(slices - 1)
-            order = np.argsort(at, kind="stable")
-            names, starts = np.unique(at[order], return_index=True)
-            blobs = [part.tobytes() for part in np.split(hashes[order], starts[1:])] if len(names) else []
+            names, parts = by_slice(hashes, slices)
+            blobs = [hashes[part].tobytes() for part in parts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names.astype(np.int64)), pa.array(blobs, pa.binary())], schema=schema
+                [pa.array(names), pa.array(blobs, pa.binary())], schema=schema
             )
 
     hashes = docs.select("text").mapInArrow(emit, "slice long, hashes binary")
@@ -111,27 +88,8 @@ def repeat_filters(docs: DataFrame, min_chars: int = 1) -> tuple[DataFrame, int]
     )
 
 
-def _joined_filters(slices: int, rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All second filters in one array: (packed bits, first bit of each slice, bits of each slice)."""
-    start, bits = np.zeros(slices, np.int64), np.full(slices, 64, np.uint64)
-    packed, at = [bytes(8)], 8
-    for row in rows:
-        start[row["slice"]] = at * 8
-        bits[row["slice"]] = len(row["packed"]) * 8
-        packed.append(bytes(row["packed"]))
-        at += len(row["packed"])
-    return np.frombuffer(b"".join(packed), np.uint8), start, bits
-
-
-def _suspected(filters: tuple, hashes: np.ndarray) -> np.ndarray:
-    packed, start, bits = filters
-    at = (hashes & np.uint64(len(start) - 1)).astype(np.int64)
-    bit = start[at] + _positions(hashes, bits[at]).astype(np.int64)
-    return ((packed[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).all(axis=0)
-
-
 def repeated_lines(
-    docs: DataFrame, min_docs: int, min_chars: int = 1, filter_bytes: int = FILTER_BYTES
+    docs: DataFrame, min_docs: int, min_chars: int = 1, filter_bytes: int = SENT_BYTES
 ) -> DataFrame:
     """``digest``, ``docs``, ``first`` of the lines found in at least ``min_docs`` documents.
 
@@ -144,7 +102,7 @@ def repeated_lines(
     suspects = None
     if min_docs > 1 and size <= filter_bytes:
         suspects = docs.sparkSession.sparkContext.broadcast(
-            _joined_filters(slices, filters.collect())
+            joined(slices, filters.collect())
         )
     schema = pa.schema(
         [("digest", pa.binary()), ("docs", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int64())]
@@ -160,7 +118,7 @@ def repeated_lines(
                     lines.setdefault(line_key(line), number)
                 found = [(line_digest(k), n) for k, n in lines.items() if _long_enough(k, min_chars)]
                 if suspects is not None and found:
-                    hit = _suspected(suspects.value, _hashes([d for d, _ in found]))
+                    hit = maybe_in(suspects.value, _hashes([d for d, _ in found]))
                     found = [found[i] for i in np.flatnonzero(hit)]
                 for digest, number in found:
                     counts[digest] = counts.get(digest, 0) + 1
@@ -196,7 +154,7 @@ def drop_repeated_lines(
     min_chars: int = 1,
     keep_first: bool = False,
     sent_keys: int = SENT_KEYS,
-    filter_bytes: int = FILTER_BYTES,
+    filter_bytes: int = SENT_BYTES,
 ) -> DataFrame:
     """``docs`` with shared lines taken out of ``text``, and ``n_lines``, ``n_dropped``.
 
