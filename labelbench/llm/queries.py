@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from labelbench.llm import bpe, cuckoo, jaccard, lines, mixing, sharding
+from labelbench.llm import bpe, cuckoo, fingerprints, jaccard, lines, mixing, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -44,6 +44,10 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(_table(spark, folder, "documents"))
+
+
 def op9_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, folder, "documents"), width=5, percent=80)
 
@@ -63,6 +67,7 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op5_fingerprints": op5_fingerprints,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_bpe": op10_bpe,
 }
