@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from labelbench.llm import bpe, cuckoo, fingerprints, jaccard, lines, mixing, sharding
+from labelbench.llm import bpe, cuckoo, fingerprints, jaccard, language, lines, mixing, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,6 +48,15 @@ def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(_table(spark, folder, "documents"))
 
 
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    codes = language.trained(documents.where(~language.is_held_out()))
+    found = language.identified(documents.select("doc_id", "text"), codes)
+    return found.select(
+        "doc_id", language.is_held_out().alias("held_out"), "lang_pred", "score", "ambiguous"
+    )
+
+
 def op9_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, folder, "documents"), width=5, percent=80)
 
@@ -68,6 +77,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_fingerprints": op5_fingerprints,
+    "op7_language_id": op7_language_id,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_bpe": op10_bpe,
 }
