@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from labelbench.llm import bpe, cuckoo, fingerprints, jaccard, language, lines, mixing, sharding
+from labelbench.llm import bpe, cuckoo, fingerprints, hosts, jaccard, language, lines, mixing, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -57,6 +57,24 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+URL_RULES = [
+    ("block", "net/"),
+    ("allow", "example.net/en/"),
+    ("block", "example.com/de/"),
+    ("allow", "org/fr/"),
+]
+
+
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages take the labels that bear their number: bad is of low quality or toxic."""
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    outcomes = _table(spark, folder, "labels").select(
+        F.col("doc_id").alias("page_id"), bad.cast("int").alias("bad")
+    )
+    pages = _table(spark, folder, "pages").select("page_id", "url")
+    return hosts.judged(pages, outcomes, URL_RULES).drop("bound")
+
+
 def op9_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, folder, "documents"), width=5, percent=80)
 
@@ -78,6 +96,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_fingerprints": op5_fingerprints,
     "op7_language_id": op7_language_id,
+    "op8_url_filter": op8_url_filter,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_bpe": op10_bpe,
 }
@@ -118,4 +137,62 @@ ORACLES = {
         FROM d JOIN k USING (nr) LEFT JOIN gone USING (key)
         GROUP BY nr, d.doc_id
     """,
+    "op8_url_filter": r"""
+        WITH p AS (
+            SELECT page_id,
+                translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+            FROM pages
+        ), o AS (
+            SELECT doc_id AS page_id, (quality = 0 OR toxic = 1)::int AS bad FROM labels
+            WHERE (quality = 0 OR toxic = 1) IS NOT NULL
+        ), h AS (
+            SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
+                string_split(host, '.')[-1] AS suffix,
+                count(bad) AS n, coalesce(sum(bad), 0) AS bad
+            FROM p LEFT JOIN o USING (page_id) GROUP BY host
+        ), d AS (
+            SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY ALL
+        ), s AS (
+            SELECT suffix, sum(n) AS n, sum(bad) AS bad,
+                (sum(sum(bad)) OVER () + 1) / (sum(sum(n)) OVER () + 2) AS parent
+            FROM d GROUP BY suffix
+        ), s1 AS (
+            SELECT *, 1 / least(0.5, greatest(0.001, coalesce(
+                sum((bad - n * parent) ** 2 - n * parent * (1 - parent)) OVER ()
+                / nullif(sum(n * (n - 1) * parent * (1 - parent)) OVER (), 0), 0))) - 1 AS k
+            FROM s
+        ), d1 AS (
+            SELECT d.*, (s1.bad + k * parent) / (s1.n + k) AS parent FROM d JOIN s1 USING (suffix)
+        ), d2 AS (
+            SELECT *, 1 / least(0.5, greatest(0.001, coalesce(
+                sum((bad - n * parent) ** 2 - n * parent * (1 - parent)) OVER ()
+                / nullif(sum(n * (n - 1) * parent * (1 - parent)) OVER (), 0), 0))) - 1 AS k
+            FROM d1
+        ), h1 AS (
+            SELECT h.*, (d2.bad + k * parent) / (d2.n + k) AS parent FROM h JOIN d2 USING (domain)
+        ), h2 AS (
+            SELECT *, 1 / least(0.5, greatest(0.001, coalesce(
+                sum((bad - n * parent) ** 2 - n * parent * (1 - parent)) OVER ()
+                / nullif(sum(n * (n - 1) * parent * (1 - parent)) OVER (), 0), 0))) - 1 AS k
+            FROM h1
+        ), h3 AS (
+            SELECT host, n + k AS t, bad + k * parent AS a, n - bad + k * (1 - parent) AS b FROM h2
+        ), r(rule, verdict) AS (
+            VALUES ('net/', 'block'), ('example.net/en/', 'allow'), ('example.com/de/', 'block'),
+                ('org/fr/', 'allow')
+        ), f AS (
+            SELECT host, path, max_by(rule, length(rule)) AS rule,
+                max_by(verdict, length(rule)) AS verdict
+            FROM (SELECT DISTINCT host, path FROM p) JOIN r
+                ON ('.' || host LIKE '%.' || split_part(rule, '/', 1))
+                AND starts_with(path, substr(rule, strpos(rule, '/')))
+            GROUP BY host, path
+        )
+        SELECT page_id, host, path, f.rule,
+            coalesce(f.verdict, CASE WHEN a / t - 1.645 * sqrt(a * b / (t * t * (t + 1))) > 0.3
+                THEN 'block' ELSE 'allow' END) AS verdict
+        FROM p JOIN h3 USING (host) LEFT JOIN f USING (host, path)
+    """,
 }
