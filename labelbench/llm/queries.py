@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from labelbench.llm import bpe, cuckoo, fingerprints, hosts, jaccard, language, lines, mixing, sharding
+from labelbench.llm import bpe, cuckoo, fingerprints, hosts, jaccard, language, lines, mixing, pseudonyms, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,6 +48,15 @@ def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(_table(spark, folder, "documents"))
 
 
+# Whoever runs this on real data sets a key of their own; it decides which pseudonyms come out.
+PSEUDONYM_KEY = "key of the registered query"
+
+
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymised(documents, PSEUDONYM_KEY)
+
+
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents").select("doc_id", "text", "lang")
     codes = language.trained(documents.where(~language.is_held_out()))
@@ -95,6 +104,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_fingerprints": op5_fingerprints,
+    "op6_pii": op6_pii,
     "op7_language_id": op7_language_id,
     "op8_url_filter": op8_url_filter,
     "op9_ngram_jaccard": op9_ngram_jaccard,
