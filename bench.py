@@ -14,6 +14,7 @@ import time
 from pyspark.sql import SparkSession
 
 from labelbench.plans.queries import QUERIES
+from labelbench.shared import release
 
 HEADLINE = [
     "threshold_label",
@@ -63,6 +64,7 @@ def main() -> None:
         start = time.perf_counter()
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        release(spark)
     spark.stop()
     print(
         json.dumps(

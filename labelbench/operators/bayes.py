@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from labelbench.functions.hashing import fold_of
 
 SMOOTHING = 1.0
-MAX_CLASSES = 1000
 
 
 def _sum_of(terms: Sequence[Column]) -> Column:
@@ -20,23 +19,23 @@ def _sum_of(terms: Sequence[Column]) -> Column:
     return total
 
 
+def _not_negative(feature: str) -> Column:
+    """The feature, or an error where it is negative."""
+    error = F.raise_error(F.lit(f"negative value in {feature}"))
+    return F.when(F.col(feature) < 0, error).otherwise(F.col(feature))
+
+
 def fit_naive_bayes(
     df: DataFrame, features: Sequence[str], smoothing: float = SMOOTHING
 ) -> DataFrame:
     """One row per class: ``label``, ``log_prior`` and one log weight per feature.
 
-    One aggregation over the samples; features must not be negative.
+    One aggregation over the samples; features must not be negative. Rows without a label are left
+    out.
     """
-    sums = df.groupBy("label").agg(
-        F.count("*").alias("n"),
-        *[
-            F.sum(
-                F.when(F.col(f) < 0, F.raise_error(F.lit(f"negative value in {f}"))).otherwise(
-                    F.col(f)
-                )
-            ).alias(f)
-            for f in features
-        ],
+    known = df.where(F.col("label").isNotNull())
+    sums = known.groupBy("label").agg(
+        F.count("*").alias("n"), *[F.sum(_not_negative(f)).alias(f) for f in features]
     )
     classes = Window.partitionBy()  # one row per class
     k, d = F.count("*").over(classes), len(features)
@@ -58,13 +57,14 @@ def model_rows(model: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def predict_naive_bayes(df: DataFrame, model: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Add ``prediction``; for classes 0 and 1 also ``margin`` (positive favours 1).
+    """Add ``margin`` (positive favours 1; null unless the classes are 0 and 1) and ``prediction``.
 
-    The fitted rows, one per class, become literals in one projection: no join, no Python.
+    The fitted rows, one per class as in any fitted model, become literals in one projection: no
+    join, no Python. A row with a null feature gets null for both.
     """
-    rows = model.orderBy("label").limit(MAX_CLASSES + 1).collect()
-    if not rows or len(rows) > MAX_CLASSES:
-        raise ValueError(f"a model needs 1 to {MAX_CLASSES} classes")
+    rows = model.orderBy("label").collect()
+    if not rows:
+        raise ValueError("a model needs a class")
     scores = [
         _sum_of([F.lit(row["log_prior"])] + [F.lit(row[f]) * F.col(f) for f in features])
         for row in rows
@@ -73,7 +73,7 @@ def predict_naive_bayes(df: DataFrame, model: DataFrame, features: Sequence[str]
     if [row["label"] for row in rows] == [0.0, 1.0]:
         margin = F.col("margin")
         return df.withColumn("margin", scores[1] - scores[0]).withColumn(
-            "prediction", F.when(margin > 0, 1.0).otherwise(0.0)
+            "prediction", F.when(margin > 0, 1.0).when(margin.isNotNull(), 0.0)
         )
     best = F.array_max(
         F.array(
@@ -83,7 +83,9 @@ def predict_naive_bayes(df: DataFrame, model: DataFrame, features: Sequence[str]
             ]
         )
     )
-    return df.withColumn("prediction", F.abs(best["minus_label"]))
+    return df.withColumn("margin", F.lit(None).cast("double")).withColumn(
+        "prediction", F.when(best["score"].isNotNull(), F.lit(0.0) - best["minus_label"])
+    )
 
 
 def cross_validate_naive_bayes(
@@ -97,13 +99,21 @@ def cross_validate_naive_bayes(
 
     One pass sums every fold; the training sums of a fold are the totals less its own, so all
     models of the search come from that pass. A second pass scores each row with the models of its
-    fold. ``df`` is read twice: give stored rows (:func:`labelbench.shared.cut`).
+    fold. ``df`` is read twice: give stored rows (:func:`labelbench.shared.cut`). Labels are 0 and
+    1, others are an error, as are negative features; rows without a label are left out, and rows
+    with a null feature count as no error.
     """
-    rows = df.withColumn("fold", fold_of(key, folds))
+    other = F.raise_error(F.lit("labels must be 0 or 1"))
+    label = F.when(F.col("label").isin(0, 1), F.col("label")).otherwise(other)
+    rows = (
+        df.where(F.col("label").isNotNull())
+        .withColumn("label", label)
+        .withColumn("fold", fold_of(key, folds))
+    )
     sums = rows.groupBy("fold").agg(
         *[F.count_if(F.col("label") == c).alias(f"n_{c}") for c in (0, 1)],
         *[
-            F.sum(F.when(F.col("label") == c, F.col(f)).otherwise(0.0)).alias(f"{f}_{c}")
+            F.sum(F.when(F.col("label") == c, _not_negative(f)).otherwise(0.0)).alias(f"{f}_{c}")
             for f in features
             for c in (0, 1)
         ],
@@ -134,7 +144,7 @@ def cross_validate_naive_bayes(
         _sum_of([F.col(f"prior_{c}")] + [F.col(f"w_{f}_{c}") * F.col(f) for f in features])
         for c in (0, 1)
     ]
-    wrong = F.when(score[1] > score[0], 1.0).otherwise(0.0) != F.col("label")
+    wrong = F.when(score[1] > score[0], 1.0).when(score[1] <= score[0], 0.0) != F.col("label")
     errors = scored.groupBy("smoothing", "fold").agg(
         F.count("*").alias("n"), F.count_if(wrong).alias("n_errors")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StringIndexer, UnivariateFeatureSelector, VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,19 +37,3 @@ def explode_vector(df: DataFrame, keys: Sequence[str], vector: str = "features")
     """One row per vector element: keys, ``position``, ``value``."""
     return df.select(*keys, F.posexplode(vector_to_array(vector)).alias("position", "value"))
 
-
-def select_features(
-    df: DataFrame,
-    columns: Sequence[str],
-    label: str = "label",
-    mode: str = "numTopFeatures",
-    threshold: float = 3,
-) -> list[str]:
-    """Names of the continuous columns that best tell the classes apart (F-test)."""
-    selector = UnivariateFeatureSelector(
-        featuresCol="features", labelCol=label, outputCol="selected", selectionMode=mode
-    )
-    selector.setFeatureType("continuous").setLabelType("categorical")
-    selector.setSelectionThreshold(threshold)
-    model = selector.fit(assemble(df, columns).select(label, "features"))
-    return [columns[i] for i in model.selectedFeatures]

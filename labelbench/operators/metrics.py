@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelbench.operators.ranges import by_range
+from labelbench.shared import cut
 
 REPORT = ["n", "n_pos", "n_neg", "n_errors", "test_error", "roc", "pr"]
 
@@ -91,9 +92,11 @@ def ranked_roc(
     by = list(by)
     # Conditions sit inside the counts: a filter on the score would compute it twice per row.
     y, ranked = F.col(label), F.col(score).isNotNull()
-    counts = df.groupBy(*by, F.col(score).alias("score")).agg(
-        F.count_if((y == 1) & ranked).cast("double").alias("pos"),
-        F.count_if((y == 0) & ranked).cast("double").alias("neg"),
+    counts = cut(
+        df.groupBy(*by, F.col(score).alias("score")).agg(
+            F.count_if((y == 1) & ranked).cast("double").alias("pos"),
+            F.count_if((y == 0) & ranked).cast("double").alias("neg"),
+        )
     )
     below = (
         Window.partitionBy("part", *by)

@@ -31,11 +31,12 @@ def outliers(
     """(keys, feature, value, z) of values further than ``deviations`` from their column's mean.
 
     Two passes: one row of means and deviations comes back, then a filter runs over the rows.
-    A constant column has no outliers.
+    A constant column has no outliers. NaN is left out of the statistics and is itself an outlier.
     """
+    numbers = {c: F.when(~F.isnan(c), F.col(c)) for c in columns}
     stats = df.agg(
-        *[F.avg(c).alias(f"m_{c}") for c in columns],
-        *[F.stddev_samp(c).alias(f"s_{c}") for c in columns],
+        *[F.avg(value).alias(f"m_{c}") for c, value in numbers.items()],
+        *[F.stddev_samp(value).alias(f"s_{c}") for c, value in numbers.items()],
     ).first()
     rows = [
         F.struct(
@@ -64,8 +65,9 @@ def outliers(
 def anova(df: DataFrame, columns: Sequence[str], label: str = "label", top: int = 3) -> DataFrame:
     """(feature, f_value, selected): how well each column tells the classes apart.
 
-    The F value is the variance between class means over the variance inside classes; the ``top``
-    highest are selected, by name on a tie. One aggregation gives everything: classes x features
+    The F value is the variance between class means over the variance inside classes: infinite for
+    a column that differs between classes only, null for a constant one. The ``top`` highest are
+    selected, by name on a tie. One aggregation gives everything: classes x features
     rows remain. Unlike a p-value, F does not become 0 for every useful column of a large table.
     """
     per_class = df.where(F.col(label).isNotNull()).groupBy(label).agg(
@@ -87,8 +89,8 @@ def anova(df: DataFrame, columns: Sequence[str], label: str = "label", top: int
     overall = F.sum(n * mean).over(whole) / F.sum(n).over(whole)
     between = F.sum(n * (mean - F.col("overall")) * (mean - F.col("overall")))
     inside = F.sum(n * F.col("var"))
-    f_value = F.try_divide(
-        between / (F.count("*") - 1), F.try_divide(inside, F.sum(n) - F.count("*"))
+    f_value = F.when((inside == 0) & (between > 0), F.lit(float("inf"))).otherwise(
+        F.try_divide(between / (F.count("*") - 1), F.try_divide(inside, F.sum(n) - F.count("*")))
     )
     values = (
         per_class.select(F.inline(F.array(*rows)))

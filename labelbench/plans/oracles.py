@@ -232,6 +232,42 @@ scored AS (
   FROM rows_used, line WHERE NOT ({_is_train('l_orderkey')})
 )"""
 
+# --- samples that can be told apart without an error -------------------------------------------
+
+_ITEM_KEY = "(l_orderkey * 8 + l_linenumber)"
+_SEPARABLE_TEST = f"""
+scored AS (
+  SELECT CAST(CASE WHEN l_discount >= 0.045 THEN 1 ELSE 0 END AS DOUBLE) AS label,
+         label AS prediction
+  FROM lineitem WHERE NOT ({_is_train(_ITEM_KEY)})
+)"""
+_URGENT = "CAST(substr(o_orderpriority, 1, 1) AS INTEGER) <= 2"
+# The pipeline's index gives 0 to the more frequent class, here of the train rows.
+_URGENT_TEST = f"""
+more AS (
+  SELECT count(*) FILTER ({_URGENT}) > count(*) / 2 AS urgent
+  FROM orders WHERE {_is_train('o_orderkey')}
+),
+scored AS (
+  SELECT CAST(CASE WHEN ({_URGENT}) = urgent THEN 0 ELSE 1 END AS DOUBLE) AS label,
+         label AS prediction
+  FROM orders, more WHERE NOT ({_is_train('o_orderkey')})
+)"""
+_POINTS = [f"numTrees={t}, maxDepth={d}" for t in TREES for d in DEPTHS]
+_GRID = "points AS (SELECT unnest([" + ", ".join(f"'{p}'" for p in _POINTS) + "]) AS model)"
+
+
+def _urgent_report(name: str) -> str:
+    return f"WITH {_URGENT_TEST}, {_report('scored', model=name)}"
+
+
+def _separable_report(name: str) -> str:
+    return f"WITH {_SEPARABLE_TEST}, {_report('scored', model=name)}"
+
+
+# All points rank without an error, so the first one is the best.
+_SEARCH = f"SELECT model, CAST(1 AS DOUBLE) AS metric, model = '{_POINTS[0]}' AS best FROM points"
+
 _CORRELATED = list(combinations(["label", *TEXT_FEATURES], 2))
 
 
@@ -274,6 +310,41 @@ FROM orders GROUP BY 1""",
     "split_rows": f"""
 SELECT o_orderkey, CASE WHEN {_is_train('o_orderkey')} THEN 'train' ELSE 'test' END AS split
 FROM orders""",
+    "random_split_cover": """
+SELECT seeded, count(*) AS total, CAST(0 AS BIGINT) AS in_both, CAST(0 AS BIGINT) AS in_neither
+FROM orders, (SELECT unnest([true, false]) AS seeded) GROUP BY seeded""",
+    "held_rows": f"""
+WITH {ITEMS}
+SELECT held, count(*) AS n, count(*) FILTER (label = 1) AS n_pos
+FROM items, (SELECT unnest([true, false]) AS held) WHERE {_is_train('l_orderkey')} GROUP BY held""",
+    "malformed_lines": f"""
+SELECT form, l_orderkey % 10 IN (3, 7) OR l_quantity IS NULL
+         OR {' OR '.join(f'{f} IS NULL' for f in ITEM_FEATURES)} AS malformed, count(*) AS n
+FROM lineitem, (SELECT unnest(['line', 'row']) AS form) GROUP BY 1, 2""",
+    "lr_items": _separable_report("logistic_regression"),
+    "dt_items": _separable_report("decision_tree"),
+    "rf_items": _separable_report("random_forest"),
+    "rf_vote_items": _separable_report("random_forest, majority"),
+    "svm_items": _separable_report("linear_svm"),
+    "gbt_items": _separable_report("boosted_trees"),
+    "tree_importance_items": """
+SELECT unnest(['f_discount', 'l_tax', 'f_quantity']) AS feature,
+       unnest([1, 0, 0])::DOUBLE AS importance""",
+    "rf_pipeline_orders": _urgent_report("forest pipeline"),
+    "rf_pipeline_override_orders": _urgent_report("forest pipeline"),
+    "rf_sweep_orders": f"""
+WITH {_GRID},
+scored AS (
+  SELECT CAST(CASE WHEN {_URGENT} THEN 1 ELSE 0 END AS DOUBLE) AS label, label AS prediction, model
+  FROM orders, points WHERE NOT ({_is_train('o_orderkey')})
+),
+{_report('scored', by='model')}""",
+    "rf_cross_validation_orders": f"""
+WITH {_GRID}, found AS ({_SEARCH}),
+report AS ({_urgent_report(_POINTS[0])})
+SELECT found.*, report.* EXCLUDE (model) FROM found LEFT JOIN report USING (model)""",
+    "holdout_search_orders": f"WITH {_GRID} {_SEARCH}",
+    "gini_split_binned": f"WITH {ITEMS}, {_gini('items', ['l_discount', 'l_tax'], True)}",
     "preview_rows": f"""
 SELECT p_partkey, p_size, p_retailprice, {_good('p_size')} AS good
 FROM part ORDER BY p_partkey LIMIT 3""",
@@ -317,7 +388,7 @@ scored AS (SELECT l_returnflag, label, {_good('l_extendedprice', 50000)} AS pred
 {_report('scored', by='l_returnflag')}""",
     "ranked_roc": f"""
 WITH {SAMPLES},
-scores AS (SELECT label, f_punct / f_chars AS score FROM samples WHERE f_chars > 0),
+scores AS (SELECT label, f_punct / nullif(f_chars, 0) AS score FROM samples),
 {_rank_sum('scores')}""",
     "ranked_roc_items": f"""
 WITH {ITEMS},

@@ -8,14 +8,16 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelbench.functions.labels import good_label, good_label_udf
 from labelbench.operators import bayes, metrics, pipelines, profile, splits, tuning
-from labelbench.operators.classifiers import estimator
+from labelbench.operators.classifiers import DEEP_TREES, estimator
 from labelbench.operators.features import assemble, explode_vector, frequency_indexer
-from labelbench.operators.gini import gini_splits
+from labelbench.operators.gini import binned_gini_splits, gini_splits
 from labelbench.shared import balanced, cut, scratch_path
 from labelbench.sources.delimited import (
+    BAD_LINE,
     drop_header,
     parse_lines,
     read_delimited,
@@ -30,10 +32,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 GOOD_SIZE_FROM = 25
 ITEM_FEATURES = ["l_extendedprice", "l_discount", "l_tax"]
 SEED = 11
-# The registered searches use a small grid; the functions default to the published one.
-SMALL_TREES = (10, 20)
-SMALL_DEPTHS = (3, 5)
 PARALLEL_FITS = 4
+ROWS_PER_TASK = 100_000
 
 
 def _quality(column: str):
@@ -54,10 +54,59 @@ def _stored_samples(spark: SparkSession, folder: str) -> DataFrame:
     return cut(balanced(text_samples(spark, folder)))
 
 
+def _laid_out(stored: DataFrame, key: str) -> DataFrame:
+    """Stored rows in a layout that depends on the rows alone, so that seeded forests repeat."""
+    return cut(splits.stable_layout(stored, key, stored.count() // ROWS_PER_TASK + 1))
+
+
 def _vector_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """(train, test) of stored labelled vectors."""
     samples = assemble(balanced(text_samples(spark, folder)), TEXT_FEATURES)
-    return splits.hash_split(cut(samples.select("doc_id", "label", "features")), "doc_id")
+    stored = cut(samples.select("doc_id", "label", "features"))
+    return splits.hash_split(_laid_out(stored, "doc_id"), "doc_id")
+
+
+SEPARABLE_FEATURES = ["f_discount", "l_tax", "f_quantity"]
+
+
+def _separable_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line item, labelled by its discount, which is also a feature: 11 values, split in the
+    middle. Any of the classifiers can tell the classes apart without an error."""
+    items = table(spark, folder, "lineitem").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("key"),
+        F.when(F.col("l_discount") >= 0.045, 1.0).otherwise(0.0).alias("label"),
+        (F.col("l_discount") - 0.045).alias("f_discount"),
+        "l_tax",
+        (F.col("l_quantity") / 50).alias("f_quantity"),
+    )
+    return _laid_out(cut(items), "key")
+
+
+def _separable_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    rows = assemble(_separable_items(spark, folder), SEPARABLE_FEATURES)
+    return splits.hash_split(rows.select("key", "label", "features"), "key")
+
+
+URGENCY_FEATURES = ["f_priority", "f_price"]
+
+
+def _urgent_orders(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of every order, ``good`` when of the two highest of five priorities, with the
+    priority among the features. Both features are looked at in every node of a forest."""
+    priority = F.substring("o_orderpriority", 1, 1).cast("int")
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("key"),
+        F.when(priority <= 2, 1.0).otherwise(0.0).alias("good"),
+        (priority - 2.5).alias("f_priority"),
+        (F.col("o_totalprice") / 100_000).alias("f_price"),
+    )
+    return splits.hash_split(_laid_out(cut(orders), "key"), "key")
+
+
+def _without_pipeline(rows: DataFrame) -> DataFrame:
+    """The same rows for a bare classifier."""
+    labelled = assemble(rows.withColumnRenamed("good", "label"), URGENCY_FEATURES)
+    return labelled.select("key", "label", "features")
 
 
 # --- scans and parsing -------------------------------------------------------------------------
@@ -170,6 +219,62 @@ def random_split_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def random_split_cover(spark: SparkSession, folder: str) -> DataFrame:
+    """What both sampled splits, with a seed and without, must keep: every order on one side."""
+    orders = cut(table(spark, folder, "orders").select("o_orderkey"))
+    reports = []
+    for seeded in (True, False):
+        train, test = splits.random_split(orders, seed=SEED if seeded else None)
+        sides = train.withColumn("side", F.lit(1)).union(test.withColumn("side", F.lit(2)))
+        # Stored: an unseeded sample must not be drawn twice.
+        sides = cut(sides.groupBy("o_orderkey").agg(F.count_distinct("side").alias("sides")))
+        whole = orders.join(sides, "o_orderkey", "left").agg(
+            F.count(F.lit(1)).alias("total"),
+            F.count_if(F.col("sides") > 1).alias("in_both"),
+            F.count_if(F.col("sides").isNull()).alias("in_neither"),
+        )
+        reports.append(whole.select(F.lit(seeded).alias("seeded"), "*"))
+    return reports[0].union(reports[1])
+
+
+def held_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts over train rows, read as they are and held in memory."""
+    train, _ = splits.hash_split(_items(spark, folder), "l_orderkey")
+    train = train.select("l_orderkey", "label")
+    count = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("n_pos")]
+    plain = train.agg(*count).first()
+    with pipelines.held(train) as rows:
+        held = rows.agg(*count).first()
+    return spark.createDataFrame(
+        [(False, *plain), (True, *held)], "held boolean, n bigint, n_pos bigint"
+    )
+
+
+def malformed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Well-formed and malformed lines, read as lines and as delimited rows.
+
+    The key spoils some: those of keys ending in 3 lose a field, in 7 one is no number.
+    """
+    fields = [F.col(c).cast("string") for c in ITEM_FEATURES]
+    last = F.col("l_orderkey") % 10
+    first = F.when(last == 7, F.lit("x")).otherwise(fields[0])
+    kept = F.when(last != 3, _quality("l_quantity").cast("string"))
+    lines = table(spark, folder, "lineitem").select(
+        F.concat_ws(";", first, *fields[1:], kept).alias("value")
+    )
+    path = scratch_path(spark, "spoiled-lines")
+    lines.write.text(path)
+    parsed = parse_lines(
+        read_lines(spark, path), len(ITEM_FEATURES), GOOD_SIZE_FROM, permissive=True
+    ).select(F.lit("line").alias("form"), "malformed")
+    schema = T.StructType([T.StructField(c, T.DoubleType()) for c in ITEM_FEATURES])
+    schema = schema.add("quality", T.IntegerType())
+    scanned = read_delimited(
+        spark, path, schema=schema, permissive=True
+    ).select(F.lit("row").alias("form"), F.col(BAD_LINE).isNotNull().alias("malformed"))
+    return parsed.union(scanned).groupBy("form", "malformed").agg(F.count(F.lit(1)).alias("n"))
+
+
 def preview_rows(spark: SparkSession, folder: str) -> DataFrame:
     parts = table(spark, folder, "part").select(
         "p_partkey", "p_size", "p_retailprice", good_label("p_size", GOOD_SIZE_FROM).alias("good")
@@ -248,6 +353,12 @@ def gini_split(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(gini_splits(text_samples(spark, folder), TEXT_FEATURES), ["gain"])
 
 
+def gini_split_binned(spark: SparkSession, folder: str) -> DataFrame:
+    """Discount and tax have fewer values than a tree has bins, so the bins are exact."""
+    items = _items(spark, folder).select("label", "l_discount", "l_tax")
+    return _rounded(binned_gini_splits(items, ["l_discount", "l_tax"]), ["threshold", "gain"])
+
+
 def gini_split_items(spark: SparkSession, folder: str) -> DataFrame:
     items = _items(spark, folder).select("label", *ITEM_FEATURES)
     return _rounded(gini_splits(items, ITEM_FEATURES), ["threshold", "gain"])
@@ -289,10 +400,8 @@ def hard_roc_pr_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ranked_roc(spark: SparkSession, folder: str) -> DataFrame:
-    scored = (
-        text_samples(spark, folder)
-        .where(F.col("f_chars") > 0)
-        .select("label", (F.col("f_punct") / F.col("f_chars")).alias("score"))
+    scored = text_samples(spark, folder).select(
+        "label", F.try_divide("f_punct", "f_chars").alias("score")
     )
     return _rounded(metrics.ranked_roc(scored, "score"), ["roc"])
 
@@ -310,9 +419,9 @@ def confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
 # --- estimators --------------------------------------------------------------------------------
 
 
-def _holdout(name: str) -> Query:
+def _holdout(name: str, split: Callable = _vector_split) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        train, test = _vector_split(spark, folder)
+        train, test = split(spark, folder)
         seeded = {"seed": SEED} if name in ("decision_tree", "random_forest", "boosted_trees") else {}
         model = pipelines.fit(estimator(name, **seeded), train)
         return _rounded_report(metrics.model_report(pipelines.score(model, test), name))
@@ -320,21 +429,22 @@ def _holdout(name: str) -> Query:
     return query
 
 
-def rf_vote_holdout(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = _vector_split(spark, folder)
-    model = pipelines.fit(estimator("random_forest", seed=SEED), train)
-    voted = pipelines.vote(model, test)
-    return _rounded_report(metrics.model_report(voted, "random_forest, majority"))
+def _vote_holdout(split: Callable) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        train, test = split(spark, folder)
+        model = pipelines.fit(estimator("random_forest", seed=SEED), train)
+        voted = pipelines.vote(model, test)
+        return _rounded_report(metrics.model_report(voted, "random_forest, majority"))
+
+    return query
 
 
 def _good_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     samples = _stored_samples(spark, folder).withColumnRenamed("label", "good")
-    return splits.hash_split(samples, "doc_id")
+    return splits.hash_split(_laid_out(samples, "doc_id"), "doc_id")
 
 
-def rf_pipeline_override(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole path: samples, frequency index, vector, forest with a parameter map, report."""
-    train, test = _good_split(spark, folder)
+def _pipeline_override(train: DataFrame, test: DataFrame, features: Sequence[str]) -> DataFrame:
     forest = RandomForestClassifier(labelCol="label", featuresCol="features", seed=SEED)
     params = {
         forest.numTrees: 40,
@@ -343,37 +453,59 @@ def rf_pipeline_override(spark: SparkSession, folder: str) -> DataFrame:
         forest.maxBins: 32,
         forest.featureSubsetStrategy: "auto",
     }
-    model = pipelines.fit(pipelines.build_pipeline(TEXT_FEATURES, forest), train, params)
+    model = pipelines.fit(pipelines.build_pipeline(features, forest), train, params)
     return _rounded_report(metrics.model_report(pipelines.score(model, test), "forest pipeline"))
 
 
-def rf_pipeline(spark: SparkSession, folder: str) -> DataFrame:
-    """The same path with the parameters set on the forest."""
-    train, test = _good_split(spark, folder)
+def rf_pipeline_override(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole path: samples, frequency index, vector, forest with a parameter map, report."""
+    return _pipeline_override(*_good_split(spark, folder), TEXT_FEATURES)
+
+
+def rf_pipeline_override_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return _pipeline_override(*_urgent_orders(spark, folder), URGENCY_FEATURES)
+
+
+def _pipeline(train: DataFrame, test: DataFrame, features: Sequence[str]) -> DataFrame:
     forest = estimator("random_forest", seed=SEED)
-    model = pipelines.fit(pipelines.build_pipeline(TEXT_FEATURES, forest), train)
+    model = pipelines.fit(pipelines.build_pipeline(features, forest), train)
     return _rounded_report(metrics.model_report(pipelines.score(model, test), "forest pipeline"))
 
 
-def _small_grid(forest):
-    return tuning.forest_grid(forest, SMALL_TREES, SMALL_DEPTHS)
+def rf_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """The same path with the parameters set on the forest."""
+    return _pipeline(*_good_split(spark, folder), TEXT_FEATURES)
+
+
+def rf_pipeline_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return _pipeline(*_urgent_orders(spark, folder), URGENCY_FEATURES)
+
+
+def _sweep(train: DataFrame, test: DataFrame) -> DataFrame:
+    forest = estimator("random_forest", seed=SEED, **DEEP_TREES)
+    grid = tuning.forest_grid(forest)
+    return _rounded_report(tuning.sweep(forest, grid, train, test, PARALLEL_FITS))
 
 
 def rf_sweep(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = _vector_split(spark, folder)
-    forest = estimator("random_forest", seed=SEED)
-    report = tuning.sweep(forest, _small_grid(forest), train, test, PARALLEL_FITS)
-    return _rounded_report(report)
+    """All 16 points of the published grid."""
+    return _sweep(*_vector_split(spark, folder))
 
 
-def rf_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
-    """Mean ROC per grid point, and the refitted best point's report on the test rows."""
-    train, test = _vector_split(spark, folder)
-    forest = estimator("random_forest", seed=SEED)
+def rf_sweep_orders(spark: SparkSession, folder: str) -> DataFrame:
+    train, test = _urgent_orders(spark, folder)
+    return _sweep(_without_pipeline(train), _without_pipeline(test))
+
+
+def _cross_validation(
+    train: DataFrame, test: DataFrame, features: Sequence[str], key: str
+) -> DataFrame:
+    forest = estimator("random_forest", seed=SEED, **DEEP_TREES)
     search = tuning.cross_validate(
-        forest,
-        _small_grid(forest),
-        splits.with_folds(train, "doc_id"),
+        pipelines.build_pipeline(features, forest),
+        tuning.forest_grid(forest),
+        splits.with_folds(train, key),
+        label="good",
         parallelism=PARALLEL_FITS,
     )
     found = tuning.search_table(search, train)
@@ -383,15 +515,31 @@ def rf_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded_report(_rounded(found.join(report, "model", "left"), ["metric"]))
 
 
-def holdout_search(spark: SparkSession, folder: str) -> DataFrame:
-    train, _ = _vector_split(spark, folder)
-    forest = estimator("random_forest", seed=SEED)
-    search = tuning.holdout_search(
-        forest, _small_grid(forest), train, seed=SEED, parallelism=PARALLEL_FITS
-    )
+def rf_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
+    """Mean ROC of each of the 16 points through the whole pipeline, and the refitted best point's
+    report on the test rows."""
+    return _cross_validation(*_good_split(spark, folder), TEXT_FEATURES, "doc_id")
+
+
+def rf_cross_validation_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return _cross_validation(*_urgent_orders(spark, folder), URGENCY_FEATURES, "key")
+
+
+def _holdout_search(train: DataFrame) -> DataFrame:
+    forest = estimator("random_forest", seed=SEED, **DEEP_TREES)
+    grid = tuning.forest_grid(forest)
+    search = tuning.holdout_search(forest, grid, train, seed=SEED, parallelism=PARALLEL_FITS)
     return _rounded(tuning.search_table(search, train), ["metric"])
 
 
+def holdout_search(spark: SparkSession, folder: str) -> DataFrame:
+    return _holdout_search(_vector_split(spark, folder)[0])
+
+
+def holdout_search_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return _holdout_search(_without_pipeline(_urgent_orders(spark, folder)[0]))
+
+
 # --- looking at features, regression -----------------------------------------------------------
 
 
@@ -401,6 +549,14 @@ def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(pipelines.feature_importance(model, TEXT_FEATURES, train), ["importance"])
 
 
+def tree_importance_items(spark: SparkSession, folder: str) -> DataFrame:
+    """The tree needs the discount alone."""
+    train, _ = _separable_split(spark, folder)
+    model = pipelines.fit(estimator("decision_tree", seed=SEED), train)
+    found = pipelines.feature_importance(model, SEPARABLE_FEATURES, train)
+    return _rounded(found, ["importance"])
+
+
 def feature_selection(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(profile.anova(text_samples(spark, folder), TEXT_FEATURES), ["f_value"])
 
@@ -448,8 +604,9 @@ def quality_regression(spark: SparkSession, folder: str) -> DataFrame:
 def _line_scored(spark: SparkSession, folder: str) -> DataFrame:
     """The same regression in closed form: one aggregation, then one projection."""
     train, test = _priced_items(spark, folder)
-    intercept, slope = profile.fit_line(train, "label", "l_extendedprice")
-    prediction = F.lit(intercept) + F.lit(slope) * F.col("l_extendedprice")
+    line = profile.fit_line(train, "label", "l_extendedprice")
+    intercept, slope = line or (None, None)  # no line, no predictions
+    prediction = F.lit(intercept).cast("double") + F.lit(slope).cast("double") * F.col("l_extendedprice")
     return test.select("label", prediction.alias("prediction"))
 
 
@@ -480,6 +637,9 @@ QUERIES: dict[str, Query] = {
     "split_counts": split_counts,
     "split_rows": split_rows,
     "random_split_counts": random_split_counts,
+    "random_split_cover": random_split_cover,
+    "held_rows": held_rows,
+    "malformed_lines": malformed_lines,
     "preview_rows": preview_rows,
     "preview_samples": preview_samples,
     "fold_counts": fold_counts,
@@ -489,6 +649,7 @@ QUERIES: dict[str, Query] = {
     "nb_cross_validation": nb_cross_validation,
     "gini_split": gini_split,
     "gini_split_items": gini_split_items,
+    "gini_split_binned": gini_split_binned,
     "mispredictions": mispredictions,
     "error_rate": error_rate,
     "hard_roc_pr": hard_roc_pr,
@@ -499,12 +660,24 @@ QUERIES: dict[str, Query] = {
     "lr_holdout": _holdout("logistic_regression"),
     "dt_holdout": _holdout("decision_tree"),
     "rf_holdout": _holdout("random_forest"),
-    "rf_vote_holdout": rf_vote_holdout,
+    "rf_vote_holdout": _vote_holdout(_vector_split),
     "svm_holdout": _holdout("linear_svm"),
     "gbt_holdout": _holdout("boosted_trees"),
     "nb_holdout": _holdout("naive_bayes"),
     "rf_pipeline_override": rf_pipeline_override,
     "rf_pipeline": rf_pipeline,
+    "rf_pipeline_orders": rf_pipeline_orders,
+    "rf_pipeline_override_orders": rf_pipeline_override_orders,
+    "rf_sweep_orders": rf_sweep_orders,
+    "rf_cross_validation_orders": rf_cross_validation_orders,
+    "holdout_search_orders": holdout_search_orders,
+    "lr_items": _holdout("logistic_regression", _separable_split),
+    "dt_items": _holdout("decision_tree", _separable_split),
+    "rf_items": _holdout("random_forest", _separable_split),
+    "rf_vote_items": _vote_holdout(_separable_split),
+    "svm_items": _holdout("linear_svm", _separable_split),
+    "gbt_items": _holdout("boosted_trees", _separable_split),
+    "tree_importance_items": tree_importance_items,
     "rf_sweep": rf_sweep,
     "rf_cross_validation": rf_cross_validation,
     "holdout_search": holdout_search,

@@ -61,13 +61,25 @@ def read_delimited(
     With a schema the files are read once, a malformed row is an error, and ``permissive`` keeps
     such rows with their text in ``bad_line`` (see :func:`split_bad_lines`). Without a schema the
     types are inferred, which reads all files one more time: give a schema for large input.
+
+    Headed files are read by name: fields may come in any order, and more of them, but the same
+    in all files; a missing one is an error.
     """
     reader = spark.read.option("sep", sep).option("header", header)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
+    wanted = [F.col(f"`{name}`") for name in schema.names]
+    if header:
+        names = reader.csv(path).columns
+        missing = [name for name in schema.names if name not in names]
+        if missing:
+            raise ValueError(f"no column {', '.join(missing)} in the header of {path}")
+        known = {field.name: field for field in schema.fields}
+        schema = T.StructType([known.get(n, T.StructField(n, T.StringType())) for n in names])
+        reader = spark.read.option("sep", sep).option("header", True).option("enforceSchema", False)
     if not permissive:
-        return reader.option("mode", "FAILFAST").schema(schema).csv(path)
-    flagged = T.StructType(schema.fields + [T.StructField(BAD_LINE, T.StringType())])
+        return reader.option("mode", "FAILFAST").schema(schema).csv(path).select(*wanted)
+    flagged = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
     scanned = (
         reader.option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_LINE)
@@ -77,7 +89,7 @@ def read_delimited(
     # Whether a row is well-formed depends on all its fields, so none may be pruned away: each row
     # passes through a one-element array of the whole row.
     whole = F.struct(*[F.col(f"`{name}`") for name in flagged.names])
-    return scanned.select(F.inline(F.array(whole)))
+    return scanned.select(F.inline(F.array(whole))).select(*wanted, BAD_LINE)
 
 
 def split_bad_lines(df: DataFrame) -> tuple[DataFrame, DataFrame]:

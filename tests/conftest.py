@@ -22,3 +22,12 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(autouse=True, scope="module")
+def stored_tables_go(spark):
+    """Tables stored by the tests of one module are deleted after it."""
+    yield
+    from labelbench.shared import release
+
+    release(spark)

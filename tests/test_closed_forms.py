@@ -12,7 +12,7 @@ from labelbench.operators.bayes import (
     predict_naive_bayes,
 )
 from labelbench.operators.features import assemble
-from labelbench.operators.gini import gini_splits
+from labelbench.operators.gini import binned_gini_splits, gini_splits
 from labelbench.operators.profile import fit_line
 from labelbench.operators.splits import with_folds
 
@@ -70,6 +70,49 @@ def test_naive_bayes_search_with_a_class_missing_from_a_fold(spark):
     assert sum(r["n"] for r in found if r["smoothing"] == 1.0) == df.count()
 
 
+def test_naive_bayes_with_labels_below_zero(spark):
+    df = _counts(spark).withColumn("label", F.col("label") * 2 - 1)
+    scored = predict_naive_bayes(df, fit_naive_bayes(df, NAMES), NAMES)
+    plain = _counts(spark)
+    wanted = predict_naive_bayes(plain, fit_naive_bayes(plain, NAMES), NAMES)
+    a = {r["id"]: r["prediction"] for r in scored.collect()}
+    b = {r["id"]: r["prediction"] * 2 - 1 for r in wanted.collect()}
+    assert a == b and set(a.values()) == {-1.0, 1.0}
+    assert scored.columns == wanted.columns
+
+
+def test_naive_bayes_with_one_class_has_the_same_columns(spark):
+    df = _counts(spark)
+    model = fit_naive_bayes(df.where("label = 1"), NAMES)
+    rows = predict_naive_bayes(df, model, NAMES).select("margin", "prediction").distinct().collect()
+    assert [tuple(r) for r in rows] == [(None, 1.0)]
+
+
+@pytest.mark.parametrize("classes", [2, 3])
+def test_naive_bayes_gives_null_for_a_null_feature(spark, classes):
+    df = _counts(spark, classes)
+    model = fit_naive_bayes(df, NAMES)
+    unknown = df.withColumn("b", F.when(F.col("id") != 3, F.col("b")))
+    rows = predict_naive_bayes(unknown, model, NAMES).where("prediction IS NULL").collect()
+    assert [r["id"] for r in rows] == [3]
+
+
+def test_naive_bayes_leaves_out_null_labels(spark):
+    df = _counts(spark)
+    more = df.unionByName(df.limit(50).withColumn("label", F.lit(None).cast("double")))
+    assert sorted(fit_naive_bayes(more, NAMES).collect()) == sorted(fit_naive_bayes(df, NAMES).collect())
+    found = cross_validate_naive_bayes(more, NAMES, "id").collect()
+    assert sorted(found) == sorted(cross_validate_naive_bayes(df, NAMES, "id").collect())
+
+
+def test_naive_bayes_search_takes_labels_0_and_1_only(spark):
+    with pytest.raises(Exception, match="labels must be 0 or 1"):
+        cross_validate_naive_bayes(_counts(spark, 3), NAMES, "id").collect()
+    with pytest.raises(Exception, match="negative value in b"):
+        below = _counts(spark).withColumn("b", F.col("b") - 1)
+        cross_validate_naive_bayes(below, NAMES, "id").collect()
+
+
 def _brute_split(rows):
     def impurity(part):
         ones = sum(part) / len(part)
@@ -106,6 +149,18 @@ def test_gini_splits_equal_brute_force(spark, partitions):
         assert found[name] == pytest.approx(_brute_split([(r[i + 1], r[0]) for r in rows]))
 
 
+def test_binned_splits_are_exact_for_few_values_and_near_for_many(spark):
+    df = _counts(spark).withColumn("many", F.col("a") * 100 + F.col("id") % 97 + F.col("label") * 50)
+    exact = {r["feature"]: r for r in gini_splits(df, [*NAMES, "many"]).collect()}
+    binned = {r["feature"]: r for r in binned_gini_splits(df, [*NAMES, "many"]).collect()}
+    for name in NAMES:
+        assert tuple(binned[name]) == pytest.approx(tuple(exact[name]))
+    assert exact["many"]["gain"] >= binned["many"]["gain"] > 0.9 * exact["many"]["gain"]
+    flat = df.withColumn("flat", F.lit(1.0))
+    assert binned_gini_splits(flat, ["flat"]).count() == 0
+    assert binned_gini_splits(flat.limit(0), ["a"]).count() == 0
+
+
 def test_gini_split_equals_a_stump(spark):
     df = _counts(spark, n=300).withColumn("a", F.col("a") * F.col("a") + F.col("label"))
     stump = DecisionTreeClassifier(maxDepth=1, maxBins=64, minInfoGain=0.0)

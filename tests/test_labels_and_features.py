@@ -4,12 +4,7 @@ from pyspark.sql import functions as F
 
 from labelbench.functions import good_label, good_label_udf, register_functions
 from labelbench.functions.text import count_char, count_matches
-from labelbench.operators.features import (
-    assemble,
-    explode_vector,
-    frequency_indexer,
-    select_features,
-)
+from labelbench.operators.features import assemble, explode_vector, frequency_indexer
 from labelbench.operators.profile import anova, correlations, fit_line, outliers
 
 
@@ -57,7 +52,6 @@ def _signal(spark):
 
 
 def test_feature_selection_finds_the_signal(spark):
-    assert select_features(_signal(spark), ["weak", "strong"], threshold=1) == ["strong"]
     rows = {r["feature"]: r for r in anova(_signal(spark), ["weak", "strong"], top=1).collect()}
     assert rows["strong"]["selected"] and not rows["weak"]["selected"]
 
@@ -74,6 +68,19 @@ def test_anova_equals_the_textbook(spark):
     assert anova(df.where("label = 1"), ["weak"]).first()["f_value"] is None
 
 
+def test_a_column_equal_to_the_label_is_selected_first(spark):
+    df = _signal(spark).withColumn("same", F.col("label")).withColumn("flat", F.lit(2.0))
+    rows = {r["feature"]: r for r in anova(df, ["strong", "same", "flat"], top=1).collect()}
+    assert rows["same"]["selected"] and rows["same"]["f_value"] == float("inf")
+    assert rows["flat"]["f_value"] is None and not rows["flat"]["selected"]
+
+
+def test_one_nan_is_the_only_outlier_it_makes(spark):
+    rows = [(i, float(i % 3)) for i in range(30)] + [(99, float("nan")), (100, None)]
+    df = spark.createDataFrame(rows, "id int, a double")
+    assert [r["id"] for r in outliers(df, ["id"], ["a"]).collect()] == [99]
+
+
 def test_correlation_names_every_pair(spark):
     rows = correlations(_signal(spark), ["label", "strong", "weak"]).collect()
     assert [(r["left"], r["right"]) for r in rows] == [

@@ -1,3 +1,5 @@
+import weakref
+
 import pytest
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.tuning import CrossValidator
@@ -24,9 +26,8 @@ def data(spark):
 def test_classifier_beats_the_majority(data, name):
     """Majority error is 13 of 89."""
     train, test = data
-    small = {"maxIter": 10} if name == "boosted_trees" else {}
     seeded = {"seed": 11} if name in SEEDED else {}
-    model = pipelines.fit(estimator(name, **small, **seeded), train)
+    model = pipelines.fit(estimator(name, **seeded), train)
     row = binary_report(pipelines.score(model, test)).first()
     assert row["n"] == 89 and row["test_error"] < 13 / 89
     by_probability = name in ("decision_tree", "naive_bayes")
@@ -159,6 +160,56 @@ def test_cross_validation_takes_a_pipeline(data):
     found = tuning.cross_validate(pipeline, grid, folded, label="good")
     assert len(found.metrics) == 2 and found.best == found.metrics.index(max(found.metrics))
     assert binary_report(pipelines.score(found.model, test)).first()["n"] == 89
+    library = CrossValidator(
+        estimator=pipeline,
+        estimatorParamMaps=grid,
+        evaluator=tuning.ranked_evaluator(),
+        numFolds=3,
+        foldCol="fold",
+    ).fit(folded)
+    assert found.metrics == pytest.approx(library.avgMetrics, abs=0.02)
+
+
+def test_sweep_takes_a_pipeline(data):
+    train, test = (df.drop("features").withColumnRenamed("label", "good") for df in data)
+    tree = estimator("decision_tree", seed=11)
+    pipeline = pipelines.build_pipeline(TEXT_FEATURES, tree)
+    grid = [{tree.maxDepth: d} for d in (1, 3)]
+    found = {r["model"]: tuple(r)[1:] for r in tuning.sweep(pipeline, grid, train, test, 2).collect()}
+    for point in grid:
+        alone = binary_report(pipelines.score(pipeline.fit(train, point), test)).first()
+        assert found[tuning.point_name(point)] == tuple(alone)
+
+
+@pytest.mark.parametrize("parallelism", [1, 3])
+def test_no_more_models_are_kept_than_are_fitted_at_once(spark, parallelism):
+    class Fitted:
+        def __init__(self, point):
+            self.point = point
+
+    alive, most = weakref.WeakSet(), []
+
+    def fit(point):
+        model = Fitted(point)
+        alive.add(model)
+        most.append(len(alive))
+        return model
+
+    grid = list(range(24))
+    found = tuning.each_point(fit, lambda model: model.point * 2, grid, parallelism, spark)
+    assert found == [2 * point for point in grid]
+    assert max(most) <= parallelism
+
+
+def test_two_layouts_give_equal_reports(spark, data):
+    samples = assemble(text_samples(spark, FOLDER), TEXT_FEATURES).select("doc_id", "label", "features")
+    reports = []
+    for parts in (1, 5):
+        rows = splits.stable_layout(cut(samples.repartition(parts)), "doc_id", 2)
+        train, test = splits.hash_split(cut(rows), "doc_id")
+        model = estimator("random_forest", seed=11, numTrees=10).fit(train)
+        reports.append(tuple(binary_report(pipelines.score(model, test)).first()))
+    assert reports[0] == reports[1]
 
 
 def test_cross_validation_needs_both_classes_in_every_fold(data):

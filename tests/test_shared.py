@@ -1,7 +1,10 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
-from labelbench.shared import cut, scratch_path, shared_folder
+from labelbench.plans.queries import header_removed
+from labelbench.shared import cut, release, scratch, scratch_path, shared_folder
 from labelbench.sources import text_samples
 
 FOLDER = "/root/testdata/sf0.001"
@@ -19,6 +22,26 @@ def test_scratch_paths_are_fresh_and_in_the_shared_folder(spark):
     assert a != b and a.startswith(shared_folder(spark))
 
 
+def test_stored_tables_are_deleted_after_use(spark, tmp_path):
+    release(spark)
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    with scratch(spark):
+        assert cut(spark.range(10)).count() == 10
+        assert list(folder.glob("stored-*"))
+    assert not list(folder.glob("stored-*"))
+    cut(spark.range(10))
+    release(spark)
+    assert not list(folder.glob("stored-*"))
+
+
+def test_a_workflow_leaves_no_tables(spark, tmp_path):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    release(spark)
+    header_removed(spark, FOLDER).count()
+    release(spark)
+    assert not [p for p in folder.iterdir() if p.name.startswith(("stored-", "headed-"))]
+
+
 def test_a_cluster_must_name_its_folder():
     class Conf:
         def get(self, key, default=None):
