@@ -1,0 +1,41 @@
+"""Documents with everything that can be odd about them."""
+
+import random
+import re
+
+
+def words(rng, n, alphabet="abcdeä"):
+    return ["".join(rng.choices(alphabet, k=rng.randint(1, 6))) for _ in range(n)]
+
+
+def odd_rows():
+    """Nulls in every column, empty and blank texts, a long one, ties, repeats and near copies."""
+    rng = random.Random(7)
+    rows = [
+        (1, "", "en", "s1", 0),
+        (2, None, "en", "s1", None),
+        (3, " \n\t ", None, None, 4),
+        (4, "A b c", "en", "s2", 5),
+        (5, "a  B\nc", "de", "s2", 6),
+        (None, "a b c", "en", "s1", 5),
+        (None, None, None, None, None),
+        (6, "12 34 !!", "fr", "s3", 8),
+        (7, " ".join(words(rng, 30_000)), "en", "s1", None),
+        (8, "<|endoftext|>x  y z<|endoftext|>", "en", "sé", 3),
+    ]
+    for i in range(10, 50):
+        lines = [" ".join(words(rng, 25)) for _ in range(rng.randint(1, 4))]
+        rows.append((i, "\n".join(["  The SAME line ", *lines]), "en", f"s{i % 3}", 9))
+    base = words(rng, 100)
+    for i in range(50, 70):
+        copy = list(base)
+        for _ in range(rng.randint(0, 4)):
+            copy[rng.randrange(100)] = "new" + str(rng.randrange(1000))
+        rows.append((i, " ".join(copy), "en", "hot", 9))
+    rows += [(i, "exact copy of one text\nwith two lines", "de", "hot", 9) for i in range(70, 90)]
+    rows += [(71, "exact copy of one text\nwith two lines", "de", "hot", 9)] * 2
+    return rows
+
+
+def split_words(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
