@@ -2,11 +2,12 @@
 
 1. One scan gives each document the size and a digest of its shingle set, and counts how often
    shingles occur, in a table of fixed size. Equal sets are one from here on.
-2. Shingles are ordered by that count, rare ones first, then by hash. Two similar sets share one of
-   their first ``n - ceil(t n) + 1`` shingles. These go, packed, to slices of the hash space, which
-   keep those that several sets share: the buckets. Buckets inside another one are left out.
-3. Sets that are in a bucket are made once more, and each goes to its largest bucket, where a prefix
-   tree links similar ones. That gives first components.
+2. Shingles are ordered by that count, rare ones first, then by hash. Two similar sets share ``l``
+   of their first ``n - ceil(t n) + l`` shingles. These go, packed, to slices of the hash space,
+   which keep those that several sets share: the buckets. Sets with fewer than ``l`` of them have no
+   similar set. Buckets inside another one are left out.
+3. Sets that remain are made once more, and each goes to its largest bucket, where a prefix tree
+   links similar ones. That gives first components.
 4. Buckets that still hold several components are walked again, only across these. The links found
    there are joined into the final components.
 """
@@ -14,7 +15,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -33,6 +34,7 @@ RUN_BYTES = 1 << 20
 COUNTERS = 1 << 20
 COUNT_SLICES = 64
 RANK_BITS = 6
+SHARED_PART = 10  # similar sets share a tenth of their size among their first shingles
 MOST_SETS = 4096  # in one prefix tree
 TASK_BYTES = 8 << 20  # of sets that one call of the tree function gets
 
@@ -53,6 +55,12 @@ def _digest(hashes: np.ndarray) -> bytes:
     return blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
+def _heads(digests: Iterable[bytes]) -> np.ndarray:
+    """The first eight bytes of each as a number, its last bit left free."""
+    heads = np.frombuffer(b"".join(d[:8] for d in digests), ">u8").astype(np.uint64)
+    return heads & ~np.uint64(1)
+
+
 def measured(docs: DataFrame, width: int) -> DataFrame:
     """Rows of two kinds: ``doc_id``, ``n``, ``digest`` (null for an empty set), and per task the
     packed ``counts`` of each part of the counter table."""
@@ -130,27 +138,57 @@ def _ordered(owner: np.ndarray, hashes: np.ndarray, ranks: np.ndarray):
     return owner[order], keys[order]
 
 
+def _least(n, percent: int):
+    """The size that an overlap, or a similar set, has at least: ceil(percent * n / 100)."""
+    return (percent * n + 99) // 100
+
+
+def _shared_least(n: int) -> int:
+    """How many of their first shingles similar sets share, by the smaller of the two sizes."""
+    return max(1, n // SHARED_PART)
+
+
 def _buckets_of_slice(pdf: pd.DataFrame) -> pd.DataFrame:
-    """(bucket, digest) of shingles that several sets share; equal member lists count once."""
-    data = np.frombuffer(b"".join(pdf["postings"]), np.uint64).reshape(-1, 3)
-    data = np.unique(data, axis=0) if len(data) else data
+    """Rows of two kinds. (id, times): how many of its first shingles a set shares with others.
+    (bucket, id): the sets that share one of their very first, equal member lists only once.
+
+    Postings are pairs of a shingle and an id, whose last bit tells the very first ones.
+    """
+    data = np.frombuffer(b"".join(pdf["postings"]), np.uint64).reshape(-1, 2)
+    data = data[np.lexsort((data[:, 1], data[:, 0]))]
     new = np.ones(len(data), bool)
-    new[1:] = data[1:, 0] != data[:-1, 0]
-    starts = np.flatnonzero(new)
-    sizes = np.diff(np.append(starts, len(data)))
-    buckets, digests, seen = [], [], set()
-    for start, size in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist()):
-        members = data[start : start + size, 1:].tobytes()
-        name = blake2b(members, digest_size=12).digest()
-        if name not in seen:
-            seen.add(name)
-            buckets += [name] * size
-            digests += [members[i : i + 16] for i in range(0, len(members), 16)]
-    return pd.DataFrame({"bucket": buckets, "digest": digests})
+    new[1:] = (data[1:] != data[:-1]).any(axis=1)
+    data = data[new]  # copies in several tasks
+
+    def shared(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(the rows whose shingle occurs twice, first row and length of each such shingle)."""
+        starts = np.flatnonzero(np.append(True, rows[1:, 0] != rows[:-1, 0])[: len(rows)])
+        sizes = np.diff(np.append(starts, len(rows)))
+        return rows[np.repeat(sizes > 1, sizes)], starts[sizes > 1], sizes[sizes > 1]
+
+    ids, times = np.unique(shared(data)[0][:, 1] & ~np.uint64(1), return_counts=True)
+    first = data[(data[:, 1] & np.uint64(1)) == 1]
+    _, starts, sizes = shared(first)
+    found: dict[bytes, np.ndarray] = {}
+    for start, size in zip(starts.tolist(), sizes.tolist()):
+        members = first[start : start + size, 1] & ~np.uint64(1)
+        found[blake2b(members.tobytes(), digest_size=12).digest()] = members
+    members = np.concatenate([np.zeros(0, np.uint64), *found.values()])
+    return pd.DataFrame(
+        {
+            "bucket": [None] * len(ids) + [name for name, ms in found.items() for _ in ms],
+            "id": np.concatenate([ids, members]).view(np.int64),
+            "times": np.concatenate([times, np.zeros(len(members), np.int64)]),
+        }
+    )
 
 
 def shared_buckets(docs: DataFrame, ranks, width: int, percent: int) -> DataFrame:
-    """``bucket``, ``digest``: sets with a common shingle among their first ones."""
+    """The rows of :func:`_buckets_of_slice` of all slices.
+
+    ``id`` is the head of a set's digest. Sets that agree in it by chance are taken together, which
+    can only add comparisons.
+    """
     slices = bloom.slice_count(docs.count())
     schema = pa.schema([("slice", pa.int64()), ("postings", pa.binary())])
 
@@ -159,17 +197,17 @@ def shared_buckets(docs: DataFrame, ranks, width: int, percent: int) -> DataFram
             digests = {row: _digest(values) for row, values in _sets(owner, hashes)}
             once = {digest: row for row, digest in digests.items()}
             owner, keys = _ordered(owner, hashes, ranks.value)
-            tokens, ids = [np.zeros(0, np.uint64)], []
-            for row, values in _sets(owner, keys):
+            tokens, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+            for (row, values), head in zip(_sets(owner, keys), _heads(digests.values())):
                 if once[digests[row]] == row:
                     n = len(values)
-                    first = n - (percent * n + 99) // 100 + 1
-                    tokens.append(values[:first])
-                    ids.append(digests[row] * first)
-            tokens = np.concatenate(tokens)
-            ids = np.frombuffer(b"".join(ids), np.uint64).reshape(-1, 2)
-            records = np.column_stack([tokens, ids])
-            names, parts = bloom.by_slice(tokens, slices)
+                    first = n - _least(n, percent)
+                    tokens.append(values[: first + _shared_least(n)])
+                    marked = np.full(len(tokens[-1]), head)
+                    marked[: first + 1] |= np.uint64(1)
+                    ids.append(marked)
+            records = np.column_stack([np.concatenate(tokens), np.concatenate(ids)])
+            names, parts = bloom.by_slice(records[:, 0], slices)
             blobs = [records[part].tobytes() for part in parts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names), pa.array(blobs, pa.binary())], schema=schema
@@ -179,20 +217,37 @@ def shared_buckets(docs: DataFrame, ranks, width: int, percent: int) -> DataFram
         docs.select("text")
         .mapInArrow(emit, "slice long, postings binary")
         .groupBy("slice")
-        .applyInPandas(_buckets_of_slice, "bucket binary, digest binary")
-        .distinct()
+        .applyInPandas(_buckets_of_slice, "bucket binary, id long, times long")
     )
 
 
+def _id(digest: str):
+    """The first eight bytes as a signed number, as ``_heads`` has it."""
+    head = F.hex(F.substring(digest, 1, 8))
+    high, low = (F.conv(F.substring(head, i, 8), 16, 10).cast("long") for i in (1, 9))
+    return F.shiftleft(high, 32).bitwiseOR(low).bitwiseAND(F.lit(-2))
+
+
+def _likely(buckets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The buckets without sets that share too few of their first shingles to have a similar set.
+
+    ``sizes`` has ``id`` and ``least``, the number that a set shares at least with a similar one.
+    """
+    shared = buckets.where("bucket IS NULL").groupBy("id").agg(F.sum("times").alias("shared"))
+    enough = shared.join(sizes, "id").where("shared >= least").select("id")
+    members = buckets.where("bucket IS NOT NULL").select("bucket", "id").distinct()
+    return members.join(enough, "id")
+
+
 def _without_inner(buckets: DataFrame) -> DataFrame:
     """Leave out buckets that lie inside the largest bucket of all their members.
 
     Adds ``size`` and ``best``, the (size, bucket) of the largest bucket of the member.
     """
-    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     sized = cut(buckets.join(sizes, "bucket"))
-    best = sized.groupBy("digest").agg(F.max(F.struct("size", "bucket")).alias("best"))
-    known = cut(sized.join(best, "digest"))
+    best = sized.groupBy("id").agg(F.max(F.struct("size", "bucket")).alias("best"))
+    known = cut(sized.join(best, "id"))
     outer = (
         known.groupBy("bucket")
         .agg(F.min("best").alias("low"), F.max("best").alias("high"))
@@ -202,19 +257,17 @@ def _without_inner(buckets: DataFrame) -> DataFrame:
 
 
 def _candidate_sets(docs: DataFrame, members: DataFrame, ranks, width: int, sent_bytes: int) -> DataFrame:
-    """``digest``, ``tokens`` of the sets in ``members``, and of some others by chance."""
+    """``id``, ``digest``, ``tokens`` of the sets in ``members``, and of some others by chance."""
     slices = bloom.slice_count(members.count())
+
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        hashes = np.frombuffer(b"".join(d[:8] for d in pdf["digest"]), np.uint64)
+        hashes = pdf["id"].to_numpy(np.int64).view(np.uint64)
         return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "packed": [bloom.packed(hashes)]})
 
-    # The digest's first bytes as a little-endian number, as bloom.by_slice has it.
-    byte = [F.conv(F.hex(F.substring("digest", i, 1)), 16, 10).cast("long") for i in (1, 2, 3, 4)]
-    low = sum(b * 256**i for i, b in enumerate(byte))
     filters = cut(
-        members.select("digest")
+        members.select("id")
         .distinct()
-        .withColumn("slice", F.pmod(low, F.lit(slices)))
+        .withColumn("slice", F.col("id").bitwiseAND(F.lit(slices - 1)))
         .groupBy("slice")
         .applyInPandas(pack, "slice long, packed binary")
     )
@@ -222,14 +275,13 @@ def _candidate_sets(docs: DataFrame, members: DataFrame, ranks, width: int, sent
     sent = None
     if size <= sent_bytes:
         sent = docs.sparkSession.sparkContext.broadcast(bloom.joined(slices, filters.collect()))
-    schema = pa.schema([("digest", pa.binary()), ("tokens", pa.binary())])
+    schema = pa.schema([("id", pa.int64()), ("digest", pa.binary()), ("tokens", pa.binary())])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, owner, hashes in _runs(batches, width):
             wanted = {row: _digest(values) for row, values in _sets(owner, hashes)}
             if sent is not None and wanted:
-                heads = np.frombuffer(b"".join(d[:8] for d in wanted.values()), np.uint64)
-                hit = bloom.maybe_in(sent.value, heads).tolist()
+                hit = bloom.maybe_in(sent.value, _heads(wanted.values())).tolist()
                 wanted = {row: d for (row, d), h in zip(wanted.items(), hit) if h}
             once = {digest: row for row, digest in wanted.items()}
             if not once:
@@ -238,36 +290,37 @@ def _candidate_sets(docs: DataFrame, members: DataFrame, ranks, width: int, sent
             sets = dict(_sets(*_ordered(owner[here], hashes[here], ranks.value)))
             yield pa.RecordBatch.from_arrays(
                 [
+                    pa.array(_heads(once).view(np.int64)),
                     pa.array(list(once), pa.binary()),
                     pa.array([sets[row].tobytes() for row in once.values()], pa.binary()),
                 ],
                 schema=schema,
             )
 
-    return docs.select("text").mapInArrow(emit, "digest binary, tokens binary").dropDuplicates(["digest"])
+    return (
+        docs.select("text")
+        .mapInArrow(emit, "id long, digest binary, tokens binary")
+        .dropDuplicates(["id", "digest"])
+    )
 
 
-def _tree_links(rows: DataFrame, percent: int) -> DataFrame:
+def _tree_links(rows: DataFrame, calls: int, percent: int) -> DataFrame:
     """``digest``, ``label``, ``found``: for each member of a (bucket, block), the smallest label of
     those it is linked with there.
 
     Rows: ``bucket``, ``block``, ``digest``, ``label``, ``tokens``. Many buckets share one call.
     """
-    size = rows.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0
-    calls = max(64, size // TASK_BYTES)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, members in pdf.groupby(["bucket", "block"], sort=False):
-            members = members.drop_duplicates("digest").sort_values("digest")
-            sets = [np.frombuffer(t, np.uint64) for t in members["tokens"]]
+            members = members.sort_values("digest")
             labels = members["label"].tolist()
-            roots = linked(sets, labels, percent)
+            roots = linked([np.frombuffer(t, np.uint64) for t in members["tokens"]], labels, percent)
             least: dict[int, bytes] = {}
             for root, label in zip(roots, labels):
                 least[root] = min(least.get(root, label), label)
-            found = [least[root] for root in roots]
-            out.append(members[["digest", "label"]].assign(found=found))
+            out.append(members[["digest", "label"]].assign(found=[least[root] for root in roots]))
         return pd.concat(out, ignore_index=True)
 
     return (
@@ -323,43 +376,58 @@ def joined_components(links: DataFrame, a: str, b: str) -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def set_components(
-    docs: DataFrame, ranks, width: int, percent: int, sent_bytes: int
-) -> DataFrame:
-    """``digest``, ``label``: sets that are linked with others, and the component's smallest."""
-    buckets = _without_inner(cut(shared_buckets(docs, ranks, width, percent)))
+def set_components(docs: DataFrame, found: DataFrame, ranks, width: int, percent: int, sent_bytes: int):
+    """``digest``, ``label``: sets that may be linked with others, and their component's smallest.
+
+    ``found`` has ``n`` and ``digest`` of every document.
+    """
+    least = F.greatest(F.lit(1), F.floor(_least_column("n", percent) / SHARED_PART))
+    sizes = found.where("digest IS NOT NULL").select(_id("digest").alias("id"), least.alias("least"))
+    sizes = sizes.groupBy("id").agg(F.min("least").alias("least"))
+    buckets = _likely(cut(shared_buckets(docs, ranks, width, percent)), sizes, percent)
+    buckets = _without_inner(cut(buckets))
     sets = cut(_candidate_sets(docs, buckets, ranks, width, sent_bytes))
+    measure = sets.agg(F.count(F.lit(1)), F.sum(F.octet_length("tokens"))).first()
+    set_bytes = (measure[1] or 0) / max(1, measure[0])
+
+    def calls(rows: int) -> int:
+        return max(64, int(rows * set_bytes) // TASK_BYTES)
+
     # First every set in its largest bucket only.
     own = buckets.where(F.col("best.bucket") == F.col("bucket"))
+    placed = own.join(sets, "id").select(
+        "bucket",
+        F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / MOST_SETS)).alias("block"),
+        "digest",
+        F.col("digest").alias("label"),
+        "tokens",
+    )
     first = cut(
-        _tree_links(
-            cut(
-                own.join(sets, "digest").select(
-                    "bucket",
-                    F.pmod(F.xxhash64("digest"), F.ceil(F.col("size") / MOST_SETS)).alias("block"),
-                    "digest",
-                    F.col("digest").alias("label"),
-                    "tokens",
-                )
-            ),
-            percent,
-        ).select("digest", F.col("found").alias("label"))
+        _tree_links(placed, calls(measure[0]), percent).select("digest", F.col("found").alias("label"))
     )
-    # Then buckets that hold several components, across these.
-    labelled = buckets.select("bucket", "size", "digest").join(first, "digest")
-    labelled = cut(labelled)
-    mixed = (
-        labelled.groupBy("bucket")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low != high")
-        .select("bucket")
+    # Then buckets that hold several components, across these. Buckets of the same components are
+    # one: their sets are compared once.
+    named = first.select(_id("digest").alias("id"), "digest", "label")
+    labelled = cut(buckets.select("bucket", "id").join(named, "id").drop("id"))
+    group = F.concat(F.bit_xor(F.xxhash64("label")), F.lit("/"), F.bit_xor(F.xxhash64(F.lit(1), "label")))
+    mixed = cut(
+        labelled.select("bucket", "label")
+        .distinct()
+        .groupBy("bucket")
+        .agg(group.alias("group"), F.count(F.lit(1)).alias("several"))
+        .where("several > 1")
+        .select("bucket", "group")
     )
+    grouped = cut(labelled.join(mixed, "bucket").select("group", "digest", "label").distinct())
+    sizes = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
     across = cut(
-        labelled.join(mixed, "bucket")
+        grouped.join(sizes, "group")
         .withColumn("block", F.explode(_blocks("size", "digest")))
-        .join(sets, "digest")
+        .select(F.col("group").alias("bucket"), "block", "digest", "label")
     )
-    links = cut(_tree_links(across, percent).select("label", "found").where("label != found").distinct())
+    placed = across.join(sets.drop("id"), "digest")
+    links = _tree_links(placed, calls(across.count()), percent)
+    links = cut(links.select("label", "found").where("label != found").distinct())
     if links.isEmpty():
         return first
     roots = joined_components(links, "label", "found")
@@ -368,6 +436,10 @@ def set_components(
     )
 
 
+def _least_column(n: str, percent: int):
+    return F.floor((F.col(n) * percent + 99) / 100)
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, sent_bytes: int = bloom.SENT_BYTES
 ) -> DataFrame:
@@ -384,7 +456,7 @@ def near_duplicates(
     rows = cut(measured(docs, width))
     ranks = spark.sparkContext.broadcast(_ranks(rows.where("part IS NOT NULL").select("part", "counts")))
     found = rows.where("part IS NULL").select("doc_id", "n", "digest")
-    labels = set_components(docs, ranks, width, percent, sent_bytes)
+    labels = set_components(docs, found, ranks, width, percent, sent_bytes)
     ids = found.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least"))
     named = cut(ids.join(labels, "digest", "left").withColumn("label", F.coalesce("label", "digest")))
     components = named.groupBy("label").agg(F.min("least").alias("component_id"))
