@@ -1,0 +1,72 @@
+import pytest
+
+from labelbench.llm import jaccard
+from labelbench.llm.shingles import shingle_sets
+from odd_docs import odd_rows
+
+
+def _shingles(text):
+    found = (text or "").encode().lower().split()
+    return {tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4))} if found else set()
+
+
+def _brute(rows):
+    sets = [_shingles(r[1]) for r in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                parent[find(i)] = find(j)
+    least = {}
+    for i, (row, s) in enumerate(zip(rows, sets)):
+        if s and row[0] is not None:
+            least[find(i)] = min(least.get(find(i), row[0]), row[0])
+    return sorted(
+        (str(r[0]), len(s), str(least.get(find(i)) if s else r[0]))
+        for i, (r, s) in enumerate(zip(rows, sets))
+    )
+
+
+@pytest.mark.parametrize("most_sets", [4096, 3])
+def test_groups_equal_brute_force(odd, monkeypatch, most_sets):
+    """With three sets per tree the buckets fall into blocks that meet pairwise."""
+    monkeypatch.setattr(jaccard, "MOST_SETS", most_sets)
+    sent = 64 << 20 if most_sets > 3 else 0
+    rows = jaccard.near_duplicates(odd, sent_bytes=sent).collect()
+    assert sorted((str(r[0]), r[1], str(r[2])) for r in rows) == _brute(odd_rows())
+
+
+def test_one_of_each_group_stays(odd):
+    kept = jaccard.one_of_each(odd)
+    assert kept.columns == odd.columns
+    brute = {(d, c) for d, _, c in _brute(odd_rows())}
+    gone = {d for d, c in brute if d != c and "None" not in (d, c)}
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(
+        str(r[0]) for r in odd_rows() if str(r[0]) not in gone
+    )
+
+
+def test_nothing_to_join(no_docs):
+    assert jaccard.near_duplicates(no_docs).count() == 0
+
+
+def test_chains_reach_their_smallest(spark):
+    n = 60
+    links = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 102), (102, 101)], "a int, b int")
+    found = {r["node"]: r["root"] for r in jaccard.joined_components(links, "a", "b").collect()}
+    assert found == {**{i: 0 for i in range(1, n + 1)}, 101: 100, 102: 100}
+
+
+def test_sets_of_shingles():
+    texts = [(r[1] or "").encode() for r in odd_rows()]
+    owner, hashes = shingle_sets(texts)
+    sizes = [int((owner == i).sum()) for i in range(len(texts))]
+    assert sizes == [len(_shingles(t.decode())) for t in texts]
+    assert len(set(hashes.tolist())) == len(set().union(*map(_shingles, (t.decode() for t in texts))))
