@@ -25,8 +25,9 @@ NEVER = 1 << 60
 # White space other than the space. Where a text has none of it and no two spaces meet, words never
 # reach across a space, except that they begin with it.
 OTHER_SPACE = "\t\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-RUN_BYTES = 4 << 20
-HELD_CHUNKS = 400_000
+RUN_BYTES = 2 << 20
+HELD_CHUNKS = 200_000
+HELD_PAIRS = 300_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -111,6 +112,8 @@ class Vocabulary:
 
     def encode_words(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """(word, its ids as little-endian 32-bit integers) for sorted distinct words."""
+        if len(self._fits) > HELD_PAIRS:
+            self._fits.clear()
         id_of, known, longest = self.id_of.get, self._fits.get, self.longest
         before = b""
         last, length = [-1], [0]  # of each prefix on the path: its last token, and its bytes
@@ -185,7 +188,11 @@ class Encoder:
         if len(self.held) + len(new) > HELD_CHUNKS:
             self.held = {}
             new = set().union(*split)
-        pieces = {chunk: self.vocabulary.pieces(chunk) for chunk in new}
+        # Letters, with or without a space before them, are one word.
+        pieces = {
+            chunk: [chunk] if chunk.removeprefix(" ").isalpha() else self.vocabulary.pieces(chunk)
+            for chunk in new
+        }
         words = {word for found in pieces.values() for word in found}
         ids = {t: struct.pack("<I", i) for t, i in self.vocabulary.added.items() if t in words}
         plain = sorted(word.encode() for word in words.difference(ids))
