@@ -30,12 +30,14 @@ from labelbench.llm.shingles import shingle_sets
 from labelbench.llm.trie import linked
 from labelbench.shared import cut
 
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 19
 COUNTERS = 1 << 20
 COUNT_SLICES = 64
 RANK_BITS = 6
 SHARED_PART = 10  # similar sets share a tenth of their size among their first shingles
 MOST_SETS = 4096  # in one prefix tree
+MOST_OTHERS = 512  # of these outside the largest component, in the tree of a whole cluster
+SENT_IDS = 1_000_000  # doc_ids that may be sent to the tasks
 TASK_BYTES = 8 << 20  # of sets that one call of the tree function gets
 
 
@@ -341,6 +343,57 @@ def _blocks(size: str, name: str):
     )
 
 
+def _across(labelled: DataFrame, first: DataFrame) -> DataFrame:
+    """``bucket``, ``block``, ``digest``, ``label``: what is compared across components.
+
+    Components that meet in buckets form clusters. A cluster of bounded size is one bucket, so each
+    of its sets is sent once however many buckets it is in. The buckets of larger clusters stay, but
+    those of the same components are one.
+    """
+    group = F.concat(F.bit_xor(F.xxhash64("label")), F.lit("/"), F.bit_xor(F.xxhash64(F.lit(1), "label")))
+    pairs = cut(labelled.select("bucket", "label").distinct())
+    mixed = cut(
+        pairs.groupBy("bucket")
+        .agg(group.alias("group"), F.min("label").alias("low"), F.count(F.lit(1)).alias("several"))
+        .where("several > 1")
+        .select("bucket", "group", "low")
+    )
+    met = cut(pairs.join(mixed.select("bucket", "low"), "bucket").where("label != low"))
+    roots = joined_components(met, "label", "low")
+    roots = roots.union(roots.select(F.col("root").alias("node"), "root")).distinct()
+    members = cut(
+        first.join(roots, F.col("label") == F.col("node")).select("digest", "label", "root")
+    )
+    sizes = members.groupBy("root", "label").agg(F.count(F.lit(1)).alias("n"))
+    small = (
+        sizes.groupBy("root")
+        .agg(F.sum("n").alias("n"), F.max("n").alias("most"))
+        .where((F.col("n") <= MOST_SETS) & (F.col("n") - F.col("most") <= MOST_OTHERS))
+        .select("root")
+    )
+    members = cut(members.join(small.withColumn("small", F.lit(True)), "root", "left"))
+    whole = members.where("small").select(
+        F.hex("root").alias("bucket"),
+        F.lit(0).cast("long").alias("block"),
+        "digest",
+        "label",
+    )
+    large = members.where("small IS NULL").select("digest")
+    grouped = cut(
+        labelled.join(mixed.select("bucket", "group"), "bucket")
+        .join(large, "digest")
+        .select("group", "digest", "label")
+        .distinct()
+    )
+    group_sizes = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
+    apart = (
+        grouped.join(group_sizes, "group")
+        .withColumn("block", F.explode(_blocks("size", "digest")))
+        .select(F.col("group").alias("bucket"), "block", "digest", "label")
+    )
+    return whole.union(apart)
+
+
 def joined_components(links: DataFrame, a: str, b: str) -> DataFrame:
     """``node``, ``root``: the smallest node that each linked node reaches. ``links`` is stored.
 
@@ -405,26 +458,10 @@ def set_components(docs: DataFrame, found: DataFrame, ranks, width: int, percent
     first = cut(
         _tree_links(placed, calls(measure[0]), percent).select("digest", F.col("found").alias("label"))
     )
-    # Then buckets that hold several components, across these. Buckets of the same components are
-    # one: their sets are compared once.
+    # Then buckets that hold several components, across these.
     named = first.select(_id("digest").alias("id"), "digest", "label")
     labelled = cut(buckets.select("bucket", "id").join(named, "id").drop("id"))
-    group = F.concat(F.bit_xor(F.xxhash64("label")), F.lit("/"), F.bit_xor(F.xxhash64(F.lit(1), "label")))
-    mixed = cut(
-        labelled.select("bucket", "label")
-        .distinct()
-        .groupBy("bucket")
-        .agg(group.alias("group"), F.count(F.lit(1)).alias("several"))
-        .where("several > 1")
-        .select("bucket", "group")
-    )
-    grouped = cut(labelled.join(mixed, "bucket").select("group", "digest", "label").distinct())
-    sizes = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
-    across = cut(
-        grouped.join(sizes, "group")
-        .withColumn("block", F.explode(_blocks("size", "digest")))
-        .select(F.col("group").alias("bucket"), "block", "digest", "label")
-    )
+    across = cut(_across(labelled, first))
     placed = across.join(sets.drop("id"), "digest")
     links = _tree_links(placed, calls(across.count()), percent)
     links = cut(links.select("label", "found").where("label != found").distinct())
@@ -477,4 +514,6 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """
     gone = near_duplicates(docs, **options).where("doc_id != component_id")
     gone = cut(gone.select(F.col("doc_id").alias("_gone")).distinct())
+    if gone.count() <= SENT_IDS:
+        gone = F.broadcast(gone)
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
