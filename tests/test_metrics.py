@@ -102,7 +102,7 @@ def test_ranked_roc_skips_nulls_and_survives_no_rows(spark):
 
 def test_scores_are_cumulated_in_ranges_only(spark):
     df = spark.range(1000).select((F.col("id") % 9).alias("score"), (F.col("id") % 2).alias("label"))
-    plan = ranked_roc(df, "score")._jdf.queryExecution().executedPlan().toString()
+    plan = ranked_roc(df, "score", partitions=4)._jdf.queryExecution().executedPlan().toString()
     single = plan.index("SinglePartition")
     # The one single-partition step comes after rows were reduced to one per range.
     assert "rangepartitioning" in plan[single:] and plan.count("SinglePartition") == 1
