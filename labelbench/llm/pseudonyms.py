@@ -17,7 +17,11 @@ EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(
 ADDRESS = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
 DATE = r"\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4}"
 SOCIAL = r"\d{3}-\d{2}-\d{4}"
-PHONE = r"(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}"
+# Any digits where a sign, brackets or separators tell a phone number, real area codes where nothing does.
+PHONE = (
+    r"(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}"
+    r"|(?:\+?1[ .-]?)?\(\d{3}\) ?\d{7}|\+1[ .-]?\d{10}|1?[2-9]\d{2}[2-9]\d{6}"
+)
 CARD = r"\d(?:[ -]?\d){12,18}"
 FOUND = (
     rf"{EMAIL}|(?<![\w.])(?:{ADDRESS})(?![\w]|\.\d)|(?<![\w./-])(?:{DATE})(?![\w/-]|\.\d)"
@@ -157,14 +161,27 @@ def card_pseudonym(value: Column, key: str) -> Column:
 
 
 def phone_pseudonym(value: Column, key: str) -> Column:
-    """Area and exchange stay at 200 and above; a leading 1 stays."""
+    """Any ten digits among all; a leading 1 stays.
+
+    Area and exchange both of 200 and above stay so, others stay others: a number without
+    punctuation is still one afterwards.
+    """
     digits = F.right(_digits(value), F.lit(10))
     area, exchange, line = (
         _number(F.substr(digits, F.lit(a), F.lit(n))) for a, n in ((1, 3), (4, 3), (7, 4))
     )
+    real = (area >= 200) & (exchange >= 200)
     new = permuted((area - 200) * 800 + exchange - 200, line, (640_000, 10_000), key, "phone")
-    ten = F.concat(
-        _padded(F.floor(new["a"] / 800) + 200, 3), _padded(new["a"] % 800 + 200, 3), _padded(new["b"], 4)
+    real_six = F.floor(new["a"] / 800) * 1000 + 200_000 + new["a"] % 800 + 200
+    # The others in order: 200 areas with every exchange, then 800 with 200 exchanges each.
+    place = F.when(area < 200, area * 1000 + exchange).otherwise(200_000 + (area - 200) * 200 + exchange)
+    other = permuted(place, line, (360_000, 10_000), key, "other phone")
+    rest = other["a"] - 200_000
+    other_six = F.when(rest < 0, other["a"]).otherwise(
+        F.floor(rest / 200) * 1000 + 200_000 + rest % 200
+    )
+    ten = F.when(real, F.concat(_padded(real_six, 6), _padded(new["b"], 4))).otherwise(
+        F.concat(_padded(other_six, 6), _padded(other["b"], 4))
     )
     return _refilled(value, F.concat(F.regexp_extract(_digits(value), r"^(\d*)\d{10}$", 1), ten))
 

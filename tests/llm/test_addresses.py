@@ -147,3 +147,28 @@ def test_other_texts_stay(odd, no_docs):
 def test_it_is_native(odd):
     plan = pseudonyms.pseudonymised(odd, "k")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange hash" not in plan.split("InMemoryTableScan")[0]
+
+
+def test_phones_of_any_area_and_form_are_replaced(spark):
+    phones = ["+1 (017) 555-7713", "+1 (136) 555-7479", "+12025550143", "2025550143", "12025550143"]
+    phones += ["(000) 000-0000", "017-555-7713", "(202) 5550143", "+1 202-555-0143", "199.200.0001"]
+    docs = spark.createDataFrame([(i, f"call {v}.") for i, v in enumerate([*phones, "1700000000"])], "i int, text string")
+    out = {r["i"]: r for r in pseudonyms.pseudonymised(docs, "k").collect()}
+    new = [out[i]["text"][5:-1] for i in range(len(phones))]
+    for old, made in zip(phones, new):
+        assert made != old and re.sub(r"\d", "0", made) == re.sub(r"\d", "0", old), old
+    assert [re.sub(r"\D", "", new[i])[-10:] for i in (2, 4, 7, 8)] == [new[3]] * 4
+    assert len({re.sub(r"\D", "", made)[-10:] for made in new}) == 5
+    assert out[len(phones)]["n_replaced"] == 0
+    again = pseudonyms.pseudonymised(spark.createDataFrame([(m,) for m in new], "text string"), "k")
+    assert again.where("n_replaced = 1").count() == len(new)
+
+
+def test_every_planted_phone_is_replaced(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    form = re.compile(r"\+1 \(\d{3}\) \d{3}-\d{4}")
+    old = {r["doc_id"]: form.findall(r["text"] or "") for r in docs.collect()}
+    new = {r["doc_id"]: form.findall(r["text"] or "") for r in pseudonyms.pseudonymised(docs, "k").collect()}
+    assert sum(map(len, old.values())) > 10
+    for doc, values in old.items():
+        assert len(values) == len(new[doc]) and not set(values) & set(new[doc])
