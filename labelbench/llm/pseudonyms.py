@@ -22,10 +22,19 @@ PHONE = (
     r"(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}"
     r"|(?:\+?1[ .-]?)?\(\d{3}\) ?\d{7}|\+1[ .-]?\d{10}|1?[2-9]\d{2}[2-9]\d{6}"
 )
-CARD = r"\d(?:[ -]?\d){12,18}"
+NOT_CARD = (
+    rf"{EMAIL}|(?:{ADDRESS})(?![\w]|\.\d)|(?:{DATE})(?![\w/-]|\.\d)|(?:{SOCIAL}|{PHONE})(?![\w-])"
+)
+# Groups of digits up to the next value of another kind; which of them are cards is found later.
+RUN = rf"(?=\d(?:[ -]?\d){{12}})\d++(?!\w)(?:[ -](?!{NOT_CARD})\d++(?!\w))*+"
 FOUND = (
     rf"{EMAIL}|(?<![\w.])(?:{ADDRESS})(?![\w]|\.\d)|(?<![\w./-])(?:{DATE})(?![\w/-]|\.\d)"
-    rf"|(?<![\w-])(?:{SOCIAL})(?![\w-])|(?<!\w)(?:{PHONE})(?!\w)|(?<![\w.])(?:{CARD})(?!\w)"
+    rf"|(?<![\w-])(?:{SOCIAL})(?![\w-])|(?<!\w)(?:{PHONE})(?!\w)|(?<![\w.]){RUN}"
+)
+# Usual groupings of cards, then rarer ones; "x" stands for a space or dash.
+CARD_FORMS = (
+    r"\d{13,19}|\d{4}x\d{4}x\d{4}x\d{4}|\d{4}x\d{6}x\d{4,5}".replace("x", "[ -]"),
+    r"(?:\d{4}x){3,4}\d{1,3}|\d{4}x\d{3}x\d{3}x\d{3}|\d{6}x\d{7,13}".replace("x", "[ -]"),
 )
 # Cheap test for texts that cannot hold any value.
 LIKELY = r"\d[\d ./()-]{5}|@"
@@ -150,6 +159,92 @@ def _padded(number: Column, width: int) -> Column:
     return F.lpad(number.cast("string"), width, "0")
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _cards(groups: Column) -> Column:
+    """(first, last, text) of the cards among ``groups``, the digits of a run with what follows each.
+
+    Every part of 13 to 19 digits with a right check digit may be one: in the groupings of cards
+    anywhere, in others where it begins or ends the run. Of those that overlap, usual groupings go
+    first, then those that begin with 3 to 6, then the leftmost and longest.
+    """
+    last = F.size(groups) - 1
+
+    def part(i: Column, j: Column) -> Column:
+        text = F.regexp_replace(F.array_join(F.slice(groups, i + 1, j - i + 1), ""), "[ -]$", "")
+        return _once(text, lambda text: formed(text, i, j))
+
+    def formed(text: Column, i: Column, j: Column) -> Column:
+        form = (
+            F.when(text.rlike(f"^(?:{CARD_FORMS[0]})$"), 0)
+            .when(text.rlike(f"^(?:{CARD_FORMS[1]})$"), 1)
+            .when((i == 0) | (j == last), 2)
+        )
+        return F.struct(
+            form.alias("form"),
+            F.when(text.rlike("^[3-6]"), 0).otherwise(1).alias("other"),
+            i.alias("first"),
+            (-j).alias("less"),
+            j.alias("last"),
+            text.alias("text"),
+        )
+
+    parts = F.flatten(
+        F.transform(
+            F.sequence(F.lit(0), last),
+            lambda i: F.transform(F.sequence(i, F.least(i + 18, last)), lambda j: part(i, j)),
+        )
+    )
+
+    def is_card(x: Column) -> Column:
+        def right(digits: Column) -> Column:
+            return _once(F.char_length(digits), lambda n: n.between(13, 19) & (_luhn_sum(digits, n) % 10 == 0))
+
+        return x["form"].isNotNull() & _once(_digits(x["text"]), right)
+
+    def added(chosen: Column, x: Column) -> Column:
+        apart = F.forall(chosen, lambda y: (x["last"] < y["first"]) | (x["first"] > y["last"]))
+        return F.when(apart, F.concat(chosen, F.array(x))).otherwise(chosen)
+
+    kind = "array<struct<form:int,other:int,first:int,less:int,last:int,text:string>>"
+    found = F.array_sort(F.filter(parts, is_card)).cast(kind)
+    return F.aggregate(found, F.array().cast(kind), added)
+
+
+def cards_replaced(run: Column, key: str) -> Column:
+    """``run`` with its cards replaced as ``text``, and ``n``, how many of them changed."""
+
+    def replaced(groups: Column) -> Column:
+        made = F.transform(
+            _cards(groups),
+            lambda x: F.struct(
+                x["first"].alias("first"),
+                x["last"].alias("last"),
+                x["text"].alias("old"),
+                card_pseudonym(x["text"], key).alias("new"),
+            ),
+        )
+        return _once(made, lambda made: with_new(groups, made))
+
+    def with_new(groups: Column, made: Column) -> Column:
+        def piece(group: Column, i: Column) -> Column:
+            own = F.filter(made, lambda x: i.between(x["first"], x["last"]))
+            end = F.regexp_extract(group, r"\d+([ -]?)$", 1)
+            new = F.when(i == own[0]["first"], own[0]["new"]).otherwise("")
+            ended = F.when(i == own[0]["last"], end).otherwise("")
+            return F.when(F.size(own) == 0, group).otherwise(F.concat(new, ended))
+
+        return F.struct(
+            F.array_join(F.transform(groups, piece), "").alias("text"),
+            F.size(F.filter(made, lambda x: x["old"] != x["new"])).alias("n"),
+        )
+
+    return _once(F.regexp_extract_all(run, F.lit(r"\d+[ -]?"), 0), replaced)
+
+
 def card_pseudonym(value: Column, key: str) -> Column:
     """The first digit stays, the check digit is made anew, the digits between are permuted."""
     digits = _digits(value)
@@ -237,7 +332,11 @@ def email_pseudonym(value: Column, key: str) -> Column:
 
 
 def kind_of(value: Column) -> Column:
-    """`email`, `address`, `date`, `social`, `phone`, `card`, or null for what is not valid."""
+    """`email`, `address`, `date`, `social`, `phone`, `card`, or null for what is not valid.
+
+    A `card` is a run of digits long enough for one; ``cards_replaced`` finds those with a right
+    check digit.
+    """
     length = F.char_length(_digits(value))
     days = _day(value)
     octets = F.forall(F.split(value, r"\."), lambda part: _number(part) <= 255)
@@ -250,12 +349,13 @@ def kind_of(value: Column) -> Column:
         .when(value.rlike(f"^(?:{DATE})$"), F.when(days.between(0, HALF_DAYS - 1), "date"))
         .when(value.rlike(f"^(?:{SOCIAL})$"), F.when(issued, "social"))
         .when(value.rlike(f"^(?:{PHONE})$"), "phone")
-        .when(length.between(13, 19) & (_luhn_sum(_digits(value), length) % 10 == 0), "card")
+        .when(length >= 13, "card")
     )
 
 
 def pseudonym(value: Column, key: str) -> Column:
-    """The pseudonym of a value, or the value itself when it is not valid."""
+    """The pseudonym of a value as ``text``, or the value itself when it is not valid, and ``n``, how
+    many values changed: more than 1 only for cards one after the other."""
     kind = kind_of(value)
     made = {
         "email": email_pseudonym,
@@ -263,12 +363,15 @@ def pseudonym(value: Column, key: str) -> Column:
         "date": date_pseudonym,
         "social": social_pseudonym,
         "phone": phone_pseudonym,
-        "card": card_pseudonym,
     }
-    out = value
+
+    def counted(new: Column) -> Column:
+        return F.struct(new.alias("text"), F.when(new != value, 1).otherwise(0).alias("n"))
+
+    text = value
     for name, make in made.items():
-        out = F.when(kind == name, make(value, key)).otherwise(out)
-    return out
+        text = F.when(kind == name, make(value, key)).otherwise(text)
+    return F.when(kind == "card", cards_replaced(value, key)).otherwise(_once(text, counted))
 
 
 def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
@@ -287,12 +390,14 @@ def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     )
     new = F.transform("_values", lambda value: pseudonym(value, key))
     pieces = F.split(text, FOUND, -1)
-    joined = F.array_join(F.zip_with(pieces, F.col("_new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    changed = F.filter(F.arrays_zip("_values", "_new"), lambda pair: pair["_values"] != pair["_new"])
+    joined = F.array_join(
+        F.zip_with(pieces, F.col("_new"), lambda a, b: F.concat(a, F.coalesce(b["text"], F.lit("")))), ""
+    )
+    changed = F.aggregate("_new", F.lit(0), lambda total, x: total + x["n"])
     return (
         docs.withColumn("_values", values)
         .withColumn("_new", new)
-        .withColumn("n_replaced", F.size(changed))
+        .withColumn("n_replaced", changed)
         .withColumn("text", F.when(F.col("n_replaced") > 0, joined).otherwise(text))
         .drop("_values", "_new")
     )

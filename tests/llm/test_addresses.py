@@ -172,3 +172,39 @@ def test_every_planted_phone_is_replaced(spark):
     assert sum(map(len, old.values())) > 10
     for doc, values in old.items():
         assert len(values) == len(new[doc]) and not set(values) & set(new[doc])
+
+
+CARD_TEXTS = [
+    "4111 1111 1111 1111 12/27",
+    "4111111111111111 123",
+    "12 4111111111111111",
+    "4111111111111111 97.51.17.173",
+    "4111111111111111 a.b@c.org",
+    "2024 4111-1111-1111-1111",
+    "4111111111111111 12th",
+    "4111111111111111 5500 0000 0000 0004 378282246310005",
+    "41111 11111 111111",
+    "41111 11111 111111 12",
+    "7 378282246310005 123",
+    "4111111111111111 123-45-6789 202-555-0143",
+]
+
+
+def test_cards_beside_other_numbers_are_replaced(spark):
+    docs = spark.createDataFrame(list(enumerate([*CARD_TEXTS, "4111111111111113 1/2", "1 " * 500])), "i int, text string")
+    out = {r["i"]: r for r in pseudonyms.pseudonymised(docs, "k").collect()}
+    card = re.compile(r"4111[ -]?1111[ -]?1111[ -]?1111|41111 11111 111111|3782822463100005|5500 0000 0000 0004")
+    for i, old in enumerate(CARD_TEXTS):
+        new = out[i]["text"]
+        assert not card.search(new), old
+        form = r"[\d.]+" if "97.51" in old else r"\d"
+        assert re.sub(form, "0", re.sub("[a-z]", "a", new)) == re.sub(form, "0", re.sub("[a-z]", "a", old)), old
+    alone = out[1]["text"].split()[0]
+    assert _luhn(alone)
+    for i in (0, 2, 3, 4, 5, 6, 7, 8, 9, 11):
+        assert alone in re.sub(r"[ -]", "", out[i]["text"]), CARD_TEXTS[i]
+    assert out[0]["text"].endswith(" 12/27") and out[1]["text"].endswith(" 123")
+    assert out[2]["text"].startswith("12 ") and out[5]["text"].startswith("2024 ")
+    assert "97.51.17.173" not in out[3]["text"] and "a.b@" not in out[4]["text"]
+    assert [out[i]["n_replaced"] for i in (0, 3, 4, 7, 11)] == [1, 2, 2, 3, 3]
+    assert out[len(CARD_TEXTS)]["n_replaced"] == 0
