@@ -15,7 +15,8 @@ ROUNDS = 8
 # Values are looked for from left to right; kinds are told apart by their form afterwards.
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)+"
 ADDRESS = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
-DATE = r"\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4}"
+DATE = r"\d{4}-\d{1,2}-\d{1,2}|\d{1,2}[./]\d{1,2}[./]\d{4}"
+DATE_END = r"(?!(?!(?<=-\d\d)T\d)[\w/-]|\.\d)"  # of a timestamp the date only
 SOCIAL = r"\d{3}-\d{2}-\d{4}"
 # Any digits where a sign, brackets or separators tell a phone number, real area codes where nothing does.
 PHONE = (
@@ -23,12 +24,12 @@ PHONE = (
     r"|(?:\+?1[ .-]?)?\(\d{3}\) ?\d{7}|\+1[ .-]?\d{10}|1?[2-9]\d{2}[2-9]\d{6}"
 )
 NOT_CARD = (
-    rf"{EMAIL}|(?:{ADDRESS})(?![\w]|\.\d)|(?:{DATE})(?![\w/-]|\.\d)|(?:{SOCIAL}|{PHONE})(?![\w-])"
+    rf"{EMAIL}|(?:{ADDRESS})(?![\w]|\.\d)|(?:{DATE}){DATE_END}|(?:{SOCIAL}|{PHONE})(?![\w-])"
 )
 # Groups of digits up to the next value of another kind; which of them are cards is found later.
 RUN = rf"(?=\d(?:[ -]?\d){{12}})\d++(?!\w)(?:[ -](?!{NOT_CARD})\d++(?!\w))*+"
 FOUND = (
-    rf"{EMAIL}|(?<![\w.])(?:{ADDRESS})(?![\w]|\.\d)|(?<![\w./-])(?:{DATE})(?![\w/-]|\.\d)"
+    rf"{EMAIL}|(?<![\w.])(?:{ADDRESS})(?![\w]|\.\d)|(?<![\w./-])(?:{DATE}){DATE_END}"
     rf"|(?<![\w-])(?:{SOCIAL})(?![\w-])|(?<!\w)(?:{PHONE})(?!\w)|(?<![\w.]){RUN}"
 )
 # Usual groupings of cards, then rarer ones; "x" stands for a space or dash.
@@ -302,9 +303,9 @@ def social_pseudonym(value: Column, key: str) -> Column:
 def _day(value: Column) -> Column:
     """Days since the first day, or null for what is no date. Day before month unless only the other
     way round gives a date."""
-    as_iso = F.try_to_date(value, "yyyy-MM-dd")
-    dotted = F.try_to_date(value, "dd.MM.yyyy")
-    slashed = F.coalesce(F.try_to_date(value, "dd/MM/yyyy"), F.try_to_date(value, "MM/dd/yyyy"))
+    as_iso = F.try_to_date(value, "yyyy-M-d")
+    dotted = F.try_to_date(value, "d.M.yyyy")
+    slashed = F.coalesce(F.try_to_date(value, "d/M/yyyy"), F.try_to_date(value, "M/d/yyyy"))
     date = (
         F.when(value.contains("-"), as_iso).when(value.contains("/"), slashed).otherwise(dotted)
     )
@@ -312,15 +313,25 @@ def _day(value: Column) -> Column:
 
 
 def date_pseudonym(value: Column, key: str) -> Column:
-    """A day from 1900 to January 2100, in the form of the value."""
+    """A day from 1900 to January 2100, in the form of the value.
+
+    A day or month of one digit is written without a leading zero, with two digits if it needs them.
+    """
     days = _day(value)
     new = permuted(F.floor(days / DAYS[1]), days % DAYS[1], DAYS, key, "date")
     date = F.date_add(F.lit(FIRST_DAY).cast("date"), (new["a"] * DAYS[1] + new["b"]).cast("int"))
+    parts = F.split(value, "[./-]")
+
+    def two(field: Column, place: int) -> Column:
+        return F.when(F.char_length(parts[place]) == 1, field.cast("string")).otherwise(_padded(field, 2))
+
+    year, month, day = _padded(F.year(date), 4), F.month(date), F.day(date)
+    dayfirst = F.array(two(day, 0), two(month, 1), year)
     return (
-        F.when(value.contains("-"), F.date_format(date, "yyyy-MM-dd"))
-        .when(value.contains("."), F.date_format(date, "dd.MM.yyyy"))
-        .when(F.try_to_date(value, "dd/MM/yyyy").isNotNull(), F.date_format(date, "dd/MM/yyyy"))
-        .otherwise(F.date_format(date, "MM/dd/yyyy"))
+        F.when(value.contains("-"), F.concat_ws("-", year, two(month, 1), two(day, 2)))
+        .when(value.contains("."), F.array_join(dayfirst, "."))
+        .when(F.try_to_date(value, "d/M/yyyy").isNotNull(), F.array_join(dayfirst, "/"))
+        .otherwise(F.concat_ws("/", two(month, 0), two(day, 1), year))
     )
 
 

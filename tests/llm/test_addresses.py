@@ -208,3 +208,15 @@ def test_cards_beside_other_numbers_are_replaced(spark):
     assert "97.51.17.173" not in out[3]["text"] and "a.b@" not in out[4]["text"]
     assert [out[i]["n_replaced"] for i in (0, 3, 4, 7, 11)] == [1, 2, 2, 3, 3]
     assert out[len(CARD_TEXTS)]["n_replaced"] == 0
+
+
+def test_dates_of_timestamps_and_of_one_digit_are_replaced(spark):
+    dates = ["2024-02-29T12:00:00Z", "2024-02-29", "29.2.2024", "2/29/2024", "2024-2-29", "3/7/2024", "03/07/2024", "2024-02-29Test"]
+    docs = spark.createDataFrame([(i, f"on {v}, x") for i, v in enumerate(dates)], "i int, text string")
+    new = [r["text"][3:-3] for r in pseudonyms.pseudonymised(docs, "k").orderBy("i").collect()]
+    assert new[7] == dates[7] and new[0][10:] == "T12:00:00Z" and new[0][:10] == new[1] != dates[1]
+    year, month, day = new[1].split("-")
+    short = month.lstrip("0"), day.lstrip("0")
+    assert new[2] == f"{day}.{short[0]}.{year}" and new[3] == f"{short[0]}/{day}/{year}"
+    assert new[4] == f"{year}-{short[0]}-{day}"
+    assert new[5] != dates[5] and [int(x) for x in new[5].split("/")] == [int(x) for x in new[6].split("/")]
