@@ -27,6 +27,7 @@ UNKNOWN = "und"
 HAS_LETTER = r"\p{L}"
 ROUNDS = 200
 RIDGE = 1e-5
+MOST_ROWS = 12_800  # of training that the driver gets
 
 
 def ngram_lanes(data: bytes) -> np.ndarray:
@@ -60,7 +61,9 @@ def codewords(languages: int, seed: int = 1) -> np.ndarray:
     for _ in range(200):
         code = draw.integers(0, 2, (languages, int(15 * np.ceil(np.log2(languages)))))
         code = code[:, (code.min(axis=0) == 0) & (code.max(axis=0) == 1)]
-        gaps = (code[:, None, :] != code[None, :, :]).sum(axis=2) + 10**6 * np.eye(languages, dtype=int)
+        ones = code.astype(np.float32)
+        gaps = ones @ (1 - ones).T + (1 - ones) @ ones.T
+        np.fill_diagonal(gaps, np.inf)
         if gaps.min() > distance:
             best, distance = code, gaps.min()
     return best
@@ -109,7 +112,7 @@ def decode(codes: tuple, features: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     """
     _, code, weights, bias, trust = codes
     margin = features @ weights + bias
-    cost = np.stack([(np.logaddexp(0, -margin * (2 * row - 1)) * trust).sum(axis=1) for row in code], 1)
+    cost = (np.logaddexp(0, -margin) * trust) @ code.T + (np.logaddexp(0, margin) * trust) @ (1 - code).T
     cost = cost * code.shape[1]
     share = np.exp(cost.min(axis=1, keepdims=True) - cost)
     share /= share.sum(axis=1, keepdims=True)
@@ -118,15 +121,15 @@ def decode(codes: tuple, features: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return cost.argmin(axis=1), ranked[:, -1], lead
 
 
-def training_rows(docs: DataFrame, per_language: int, most_languages: int) -> DataFrame:
+def training_rows(docs: DataFrame, per_language: int, most_rows: int = MOST_ROWS) -> DataFrame:
     """``lang``, ``features``: a bounded sample of labelled rows with a letter in the text.
 
-    Of each language the ``per_language`` rows whose doc_id hashes lowest; of the languages the
-    ``most_languages`` most frequent ones.
+    Of each language the ``per_language`` rows whose doc_id hashes lowest, or fewer when there are so
+    many languages that all rows would be more than ``most_rows``. Each language has a row at least.
     """
     named = docs.where(F.col("lang").isNotNull()).select("doc_id", "lang", "text")
     kept = named.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    kept = kept.orderBy(F.desc("n"), "lang").limit(most_languages)
+    per_language = max(1, min(per_language, most_rows // max(1, kept.count())))
     # Three times the wanted rows pass a bound on the hash, so few rows are measured and ranked.
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     best = Window.partitionBy("lang").orderBy("drawn", "doc_id", "features")
@@ -137,8 +140,8 @@ def training_rows(docs: DataFrame, per_language: int, most_languages: int) -> Da
 
     return (
         named.withColumn("drawn", drawn)
-        .join(F.broadcast(kept), "lang")  # at most ``most_languages`` rows
-        .where((F.col("drawn") < 3.0 * per_language / F.col("n")) & F.col("text").rlike(HAS_LETTER))
+        .join(F.broadcast(kept), "lang")  # one row per language
+        .where((F.col("drawn") < F.lit(3.0 * per_language + 12) / F.col("n")) & F.col("text").rlike(HAS_LETTER))
         .select("doc_id", "lang", "drawn", lanes("text").alias("features"))
         .withColumn("place", F.row_number().over(best))
         .where(F.col("place") <= per_language)
@@ -151,12 +154,12 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def trained(docs: DataFrame, per_language: int = 400, most_languages: int = 32) -> Codes | None:
+def trained(docs: DataFrame, per_language: int = 400, most_rows: int = MOST_ROWS) -> Codes | None:
     """Codes fitted to a sample of ``docs``, or None when no row has a language and a letter.
 
-    The driver gets at most ``per_language * most_languages`` rows of 16 kB.
+    The driver gets at most ``most_rows`` rows of 16 kB, or one per language if these are more.
     """
-    rows = training_rows(docs, per_language, most_languages).collect()
+    rows = training_rows(docs, per_language, most_rows).collect()
     if not rows:
         return None
     features = np.stack([np.frombuffer(row["features"], np.float32) for row in rows])

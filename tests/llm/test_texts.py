@@ -94,6 +94,20 @@ def test_held_out_texts_get_their_language(spark):
     assert np.array_equal(again.weights, codes.weights)
 
 
+def test_all_of_many_languages_are_learned(spark):
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyzäöüßéèàçñøåæ"
+    sounds = {f"l{i:02}": rng.sample(letters, 5) for i in range(40)}
+    rows = [(i, " ".join(words(rng, 40, sounds[f"l{i % 40:02}"])), f"l{i % 40:02}") for i in range(40 * 12)]
+    rows += [(1000 + i, " ".join(words(rng, 40, sounds["l00"])), "l00") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    codes = language.trained(docs)
+    assert codes.languages == sorted(sounds)
+    found = language.identified(docs.withColumnRenamed("lang", "truth"), codes).collect()
+    assert np.mean([r["truth"] == r["lang_pred"] for r in found]) > 0.95
+    assert language.training_rows(docs, 400, 200).groupBy("lang").count().where("count <= 5").count() == 40
+
+
 def test_texts_without_letters_have_no_language(spark, odd):
     codes = language.trained(_languages(spark), per_language=30)
     out = language.identified(odd, codes)
