@@ -14,10 +14,9 @@ VOCABULARY = "byte_bpe_50k.json"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leave out texts in no language: null ones and those without a letter."""
-    codes = language.trained(docs.where(~language.is_held_out()))
-    found = language.identified(docs, codes)
-    return found.where(found["lang_pred"] != language.UNKNOWN).select(*docs.columns)
+    """Leave out texts in no learned language, ambiguous ones, and those without a letter."""
+    codes = language.trained(docs.where(~language.is_held_out()), bounded=True)
+    return language.in_a_language(docs, codes)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,6 +27,7 @@ UNKNOWN = "und"
 HAS_LETTER = r"\p{L}"
 ROUNDS = 200
 RIDGE = 1e-5
+LEAST_BYTES = 16  # of a text whose distance tells anything
 MOST_ROWS = 12_800  # of training that the driver gets
 
 
@@ -78,6 +79,7 @@ class Codes:
     weights: np.ndarray
     bias: np.ndarray
     trust: np.ndarray
+    farthest: float = np.inf  # distance to the nearest codeword beyond which a text is in no language
 
 
 def fit_codes(features: np.ndarray, labels: list[str]) -> Codes:
@@ -104,8 +106,8 @@ def fit_codes(features: np.ndarray, labels: list[str]) -> Codes:
     return Codes(languages, code, w[:-1].astype(np.float32), w[-1].astype(np.float32), trust / trust.sum())
 
 
-def decode(codes: tuple, features: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(best codeword, score, lead over the runner-up) of each row.
+def decode(codes: tuple, features: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(best codeword, score, lead over the runner-up, distance to the best codeword) of each row.
 
     The score is the best one's share of exp(-cost), costs being in nats per bit of the code's
     least distance.
@@ -118,7 +120,29 @@ def decode(codes: tuple, features: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     share /= share.sum(axis=1, keepdims=True)
     ranked = np.sort(share, axis=1)
     lead = ranked[:, -1] - (ranked[:, -2] if share.shape[1] > 1 else 0)
-    return cost.argmin(axis=1), ranked[:, -1], lead
+    return cost.argmin(axis=1), ranked[:, -1], lead, cost.min(axis=1)
+
+
+def farthest(features: np.ndarray, labels: list[str], slack: float = 1.25) -> float:
+    """A distance that texts of the learned languages stay below: the largest one of rows that get
+    their own language from codes fitted to the other half of the rows, times ``slack``, and at least 0.4
+    of the distance of a text that no classifier knows anything of, as few rows show few odd ones.
+
+    Infinite when a half lacks a language or no row gets its own.
+    """
+    names, order = np.array(labels, object), np.argsort(labels, kind="stable")
+    half, most = np.zeros(len(labels), bool), 0.0
+    half[order[::2]] = True
+    for own in (half, ~half):
+        if set(names[own]) != set(labels) or set(names[~own]) != set(labels):
+            return np.inf
+        codes = fit_codes(features[own], list(names[own]))
+        parts = (codes.languages, codes.code, codes.weights, codes.bias, codes.trust)
+        found, _, _, distance = decode(parts, features[~own])
+        right = np.array(codes.languages, object)[found] == names[~own]
+        most = max(most, distance[right].max(initial=0.0))
+    unknown = np.log(2) * codewords(len(set(labels))).shape[1]
+    return max(slack * most, 0.4 * unknown) if most else np.inf
 
 
 def training_rows(docs: DataFrame, per_language: int, most_rows: int = MOST_ROWS) -> DataFrame:
@@ -154,16 +178,55 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def trained(docs: DataFrame, per_language: int = 400, most_rows: int = MOST_ROWS) -> Codes | None:
+def trained(
+    docs: DataFrame, per_language: int = 400, most_rows: int = MOST_ROWS, bounded: bool = False
+) -> Codes | None:
     """Codes fitted to a sample of ``docs``, or None when no row has a language and a letter.
 
     The driver gets at most ``most_rows`` rows of 16 kB, or one per language if these are more.
+    ``bounded`` codes also know how far from all codewords a text is in no learned language.
     """
     rows = training_rows(docs, per_language, most_rows).collect()
     if not rows:
         return None
-    features = np.stack([np.frombuffer(row["features"], np.float32) for row in rows])
-    return fit_codes(features, [row["lang"] for row in rows])
+    # In an order of their own, so that halves do not depend on the layout.
+    rows = sorted((row["lang"], bytes(row["features"])) for row in rows) if bounded else rows
+    labels = [row[0] for row in rows]
+    features = np.stack([np.frombuffer(row[1], np.float32) for row in rows])
+    codes = fit_codes(features, labels)
+    if bounded:
+        codes.farthest = farthest(features, labels)
+    return codes
+
+
+def in_a_language(docs: DataFrame, codes: Codes | None, least_lead: float = 0.1) -> DataFrame:
+    """The rows of ``docs`` whose text is in a learned language, by the decoder's verdict.
+
+    Null texts and those without a letter go, and so do ambiguous ones and those farther from all
+    codewords than ``codes.farthest``, of LEAST_BYTES at least: less text is too little for a
+    distance. Without codes every text with a letter stays.
+    """
+    if codes is None:
+        return docs.where(F.coalesce(F.col("text").rlike(HAS_LETTER), F.lit(False)))
+    plain = (codes.languages, codes.code, codes.weights, codes.bias, codes.trust)
+    sent = docs.sparkSession.sparkContext.broadcast((plain, float(codes.farthest)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, bound = sent.value
+        for batch in batches:
+            for part in runs(batch, RUN_BYTES):
+                stays = np.array(
+                    [t is not None and any(map(str.isalpha, t)) for t in column(part, "text").to_pylist()],
+                    bool,
+                )
+                if stays.any():
+                    texts = text_bytes(part).filter(pa.array(stays)).to_pylist()
+                    _, _, lead, distance = decode(model, np.stack([ngram_lanes(t) for t in texts]))
+                    long = np.array([len(t) >= LEAST_BYTES for t in texts])
+                    stays[stays] = (lead >= least_lead) & ~(long & (distance > bound))
+                yield part.filter(pa.array(stays, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def identified(docs: DataFrame, codes: Codes | None, least_lead: float = 0.1) -> DataFrame:
@@ -195,7 +258,7 @@ def identified(docs: DataFrame, codes: Codes | None, least_lead: float = 0.1) ->
                 score, lead = np.zeros(part.num_rows), np.zeros(part.num_rows)
                 if any(known):
                     texts = text_bytes(part).filter(pa.array(known)).to_pylist()
-                    found, share, ahead = decode(model, np.stack([ngram_lanes(t) for t in texts]))
+                    found, share, ahead, _ = decode(model, np.stack([ngram_lanes(t) for t in texts]))
                     names[known] = np.array(model[0], object)[found]
                     score[known], lead[known] = share, ahead
                 added = [

@@ -119,3 +119,28 @@ def test_the_ids_are_the_librarys(stages):
 def test_run_gives_the_last_stage(spark, stages):
     rows = corpus_pipeline.run(spark, FOLDER)
     assert rows.columns == stages[-1][1].columns and rows.count() > 0
+
+
+FOREIGN = [
+    "Это русский текст о погоде и природе, о людях и городах.",
+    "這是一個關於天氣和自然的中文句子, 還有人和城市",
+    "qzx wvk jjq xxk zzq pqr vvw kkz qqj xzw",
+    "aGVsbG8gd29ybGQgdGhpcyBpcyBiYXNlNjQgZW5jb2RlZA",
+]
+
+
+def test_texts_in_no_learned_language_go(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    odd = [(-1 - i, text, "en", "src0", len(text)) for i, text in enumerate(FOREIGN)]
+    both = docs.union(spark.createDataFrame(odd, docs.schema))
+    kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, both, "").collect()}
+    gone = {r["doc_id"] for r in both.collect()} - kept
+    # A document may be a license line after two unknown words.
+    assert {-1, -2, -3, -4} <= gone and len(gone) <= 5
+
+
+def test_without_labels_texts_with_letters_stay(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").selectExpr(
+        "doc_id", "text", "CAST(NULL AS STRING) AS lang", "source", "n_chars"
+    )
+    assert corpus_pipeline.identify_language(spark, docs, FOLDER).count() == docs.count()
