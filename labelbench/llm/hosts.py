@@ -18,6 +18,11 @@ from labelbench.shared import cut
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+# Frequent suffixes of several labels, under which anyone can register: kinds of names under country
+# codes, and hosts of pages of many owners.
+KINDS = r"(?:ac|co|com|edu|gob|gov|ne|net|or|org|go)\.(?:ar|au|br|cn|hk|id|il|in|jp|kr|mx|my|nz|sg|th|tr|tw|ua|uk|za)"
+SHARED = r"(?:github|gitlab)\.io|(?:blogspot|wordpress|herokuapp)\.com|(?:pages|workers)\.dev|(?:netlify|vercel)\.app"
+LONG_SUFFIX = rf"(?:^|\.)(?:{KINDS}|{SHARED}|(?:ltd|me|nhs|plc|sch)\.uk)$"
 LEAST_SPREAD, MOST_SPREAD = 0.001, 0.5
 LIMIT, SIGMAS = 0.3, 1.645
 
@@ -34,13 +39,19 @@ def path_of(url: str | Column) -> Column:
 
 
 def domain_of(host: str | Column) -> Column:
-    """The last two labels of the host."""
-    return F.substring_index(host, ".", -2)
+    """The suffix of the host and one label before it."""
+    host = F.col(host) if isinstance(host, str) else host
+    return F.when(host.rlike(LONG_SUFFIX), F.substring_index(host, ".", -3)).otherwise(
+        F.substring_index(host, ".", -2)
+    )
 
 
 def suffix_of(host: str | Column) -> Column:
-    """The last label of the host."""
-    return F.substring_index(host, ".", -1)
+    """The last label of the host, or the last two where these are a frequent public suffix."""
+    host = F.col(host) if isinstance(host, str) else host
+    return F.when(host.rlike(LONG_SUFFIX), F.substring_index(host, ".", -2)).otherwise(
+        F.substring_index(host, ".", -1)
+    )
 
 
 def rule_for(rules: Sequence[tuple[str, str]], host: str, path: str) -> Column:

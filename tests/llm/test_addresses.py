@@ -220,3 +220,18 @@ def test_dates_of_timestamps_and_of_one_digit_are_replaced(spark):
     assert new[2] == f"{day}.{short[0]}.{year}" and new[3] == f"{short[0]}/{day}/{year}"
     assert new[4] == f"{year}-{short[0]}-{day}"
     assert new[5] != dates[5] and [int(x) for x in new[5].split("/")] == [int(x) for x in new[6].split("/")]
+
+
+def test_registrants_under_a_public_suffix_are_apart(spark):
+    wanted = {
+        "www.a.co.uk": ("a.co.uk", "co.uk"),
+        "b.co.uk": ("b.co.uk", "co.uk"),
+        "x.c.github.io": ("c.github.io", "github.io"),
+        "co.uk": ("co.uk", "co.uk"),
+        "www.notco.uk": ("notco.uk", "uk"),
+        "m.d.com": ("d.com", "com"),
+        "": ("", ""),
+    }
+    rows = spark.createDataFrame([(h,) for h in wanted], "host string")
+    found = rows.select("host", hosts.domain_of("host"), hosts.suffix_of("host")).collect()
+    assert {r[0]: (r[1], r[2]) for r in found} == wanted
