@@ -25,6 +25,7 @@ NEVER = 1 << 60
 # White space other than the space. Where a text has none of it and no two spaces meet, words never
 # reach across a space, except that they begin with it.
 OTHER_SPACE = "\t\v\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+MARKS = ".,;:!?"
 RUN_BYTES = 2 << 20
 HELD_CHUNKS = 200_000
 HELD_PAIRS = 300_000
@@ -160,15 +161,19 @@ class Vocabulary:
 
 
 class Encoder:
-    """Encodes runs of texts; holds the ids of earlier chunks, up to ``HELD_CHUNKS``.
+    """Encodes runs of texts; holds the ids of earlier chunks, about ``HELD_CHUNKS`` of them.
 
     A chunk is what begins at a single space, or a whole text whose words may reach across spaces.
+    Chunks are held in two halves: those met since the last turn, and those met in the turn before.
+    Frequent chunks are taken over from turn to turn, the others are forgotten.
     """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.held: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         self.spaced = any(" " in t for t in vocabulary.added)
+        self.marks = [m for m in MARKS if not any(m in t for t in vocabulary.added)]
 
     def _chunks(self, text: str) -> list[str]:
         if (
@@ -182,25 +187,46 @@ class Encoder:
         first, *rest = text.split(" ")
         return [first, *[" " + chunk for chunk in rest]]
 
+    def _pieces(self, chunk: str) -> list[str]:
+        # Letters, with or without a space before them, are one word; a mark behind them is another.
+        if chunk.removeprefix(" ").isalpha():
+            return [chunk]
+        if chunk[-1:] in self.marks and chunk[:-1].removeprefix(" ").isalpha():
+            return [chunk[:-1], chunk[-1]]
+        return self.vocabulary.pieces(chunk)
+
+    def _unknown(self, wanted: set[str]) -> set[str]:
+        """Those of ``wanted`` that are not held; all others are in ``held`` afterwards."""
+        held, before = self.held, self.before
+        missing = wanted.difference(held)
+        known = {chunk: before[chunk] for chunk in missing if chunk in before}
+        if len(held) + len(missing) > HELD_CHUNKS // 2:
+            known.update((chunk, held[chunk]) for chunk in wanted.intersection(held))
+            self.held, self.before = known, held
+        else:
+            held.update(known)
+        return missing.difference(known)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self._chunks(text) for text in texts]
-        new = set().union(*split).difference(self.held)
-        if len(self.held) + len(new) > HELD_CHUNKS:
-            self.held = {}
-            new = set().union(*split)
-        # Letters, with or without a space before them, are one word.
-        pieces = {
-            chunk: [chunk] if chunk.removeprefix(" ").isalpha() else self.vocabulary.pieces(chunk)
-            for chunk in new
-        }
+        pieces = {chunk: self._pieces(chunk) for chunk in self._unknown(set().union(*split))}
+        held = self.held
         words = {word for found in pieces.values() for word in found}
         ids = {t: struct.pack("<I", i) for t, i in self.vocabulary.added.items() if t in words}
-        plain = sorted(word.encode() for word in words.difference(ids))
-        for word, encoded in self.vocabulary.encode_words(plain):
+        plain = [word.encode() for word in words.difference(ids) if word not in held]
+        for word, encoded in self.vocabulary.encode_words(sorted(plain)):
             ids[word.decode()] = encoded
         for chunk, found in pieces.items():
-            self.held[chunk] = b"".join(map(ids.__getitem__, found))
-        return [b"".join(map(self.held.__getitem__, chunks)) for chunks in split]
+            held[chunk] = b"".join([ids[word] if word in ids else held[word] for word in found])
+        return [b"".join(map(held.__getitem__, chunks)) for chunks in split]
+
+
+def held_encoder(sent: dict) -> Encoder:
+    """The encoder of this worker process. It stays with the broadcast value, which a worker keeps
+    between tasks, so the vocabulary is parsed once and frequent chunks are known to later tasks."""
+    if "encoder" not in sent:
+        sent["encoder"] = Encoder(Vocabulary(sent["spec"]))
+    return sent["encoder"]
 
 
 def encode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
@@ -212,14 +238,14 @@ def encode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     MB, is sent to the tasks.
     """
     with open(vocabulary_path, encoding="utf-8") as file:
-        spec = docs.sparkSession.sparkContext.broadcast(file.read())
+        sent = docs.sparkSession.sparkContext.broadcast({"spec": file.read()})
     schema = pa.schema(
         [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("decoded", pa.string())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(spec.value)
-        encoder = Encoder(vocabulary)
+        encoder = held_encoder(sent.value)
+        vocabulary = encoder.vocabulary
         for batch in batches:
             for part in runs(batch, RUN_BYTES):
                 texts = [text or "" for text in column(part, "text").to_pylist()]
