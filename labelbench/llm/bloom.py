@@ -28,8 +28,8 @@ def packed(hashes: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def slice_count(docs: int, docs_per_slice: int = 4096) -> int:
-    return 1 << max(0, (docs // docs_per_slice).bit_length())
+def slice_count(amount: int, per_slice: int = 4096) -> int:
+    return 1 << max(0, int(amount // per_slice).bit_length())
 
 
 def by_slice(hashes: np.ndarray, slices: int) -> tuple[np.ndarray, list[np.ndarray]]:

@@ -4,8 +4,10 @@
    shingles occur, in a table of fixed size. Equal sets are one from here on.
 2. Shingles are ordered by that count, rare ones first, then by hash. Two similar sets share ``l``
    of their first ``n - ceil(t n) + l`` shingles. These go, packed, to slices of the hash space,
-   which keep those that several sets share: the buckets. Sets with fewer than ``l`` of them have no
-   similar set. Buckets inside another one are left out.
+   which find those that several sets hold and return them as Bloom filters. With these, a second
+   scan leaves out sets with fewer than ``l`` such shingles, which have no similar set, and sends the
+   rest of the very first ones to the slices: sets that share one are a bucket. Buckets inside
+   another one are left out.
 3. Sets that remain are made once more, and each goes to its largest bucket, where a prefix tree
    links similar ones. That gives first components.
 4. Buckets that still hold several components are walked again, only across these. The links found
@@ -37,7 +39,9 @@ RANK_BITS = 6
 SHARED_PART = 10  # similar sets share a tenth of their size among their first shingles
 MOST_SETS = 4096  # in one prefix tree
 MOST_OTHERS = 512  # of these outside the largest component, in the tree of a whole cluster
-SENT_IDS = 1_000_000  # doc_ids that may be sent to the tasks
+SENT_ROWS = 200_000  # decisions on documents that may be sent to the tasks
+SHINGLES_PER_SLICE = 2_000_000  # of distinct sets; a slice gets about a third of them
+IDS_PER_ROW = 1 << 16
 TASK_BYTES = 8 << 20  # of sets that one call of the tree function gets
 
 
@@ -64,11 +68,12 @@ def _heads(digests: Iterable[bytes]) -> np.ndarray:
 
 
 def measured(docs: DataFrame, width: int) -> DataFrame:
-    """Rows of two kinds: ``doc_id``, ``n``, ``digest`` (null for an empty set), and per task the
-    packed ``counts`` of each part of the counter table."""
+    """Rows of two kinds: ``doc_id``, ``md5`` of the text, ``n``, ``digest`` (null for an empty set),
+    and per task the packed ``counts`` of each part of the counter table."""
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
+            ("md5", pa.string()),
             ("n", pa.int64()),
             ("digest", pa.binary()),
             ("part", pa.int64()),
@@ -89,6 +94,7 @@ def measured(docs: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     column(part, "doc_id"),
+                    column(part, "md5"),
                     pa.array(n, pa.int64()),
                     pa.array(digests, pa.binary()),
                     nothing.cast(pa.int64()),
@@ -101,6 +107,7 @@ def measured(docs: DataFrame, width: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays(
             [
                 empty.cast(pa.int64()),
+                empty.cast(pa.string()),
                 empty.cast(pa.int64()),
                 empty.cast(pa.binary()),
                 pa.array(range(COUNT_SLICES), pa.int64()),
@@ -109,8 +116,8 @@ def measured(docs: DataFrame, width: int) -> DataFrame:
             schema=schema,
         )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, digest binary, part long, counts binary"
+    return docs.select("doc_id", "text", F.md5("text").alias("md5")).mapInArrow(
+        run, "doc_id long, md5 string, n long, digest binary, part long, counts binary"
     )
 
 
@@ -150,77 +157,150 @@ def _shared_least(n: int) -> int:
     return max(1, n // SHARED_PART)
 
 
-def _buckets_of_slice(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Rows of two kinds. (id, times): how many of its first shingles a set shares with others.
-    (bucket, id): the sets that share one of their very first, equal member lists only once.
-
-    Postings are pairs of a shingle and an id, whose last bit tells the very first ones.
-    """
-    data = np.frombuffer(b"".join(pdf["postings"]), np.uint64).reshape(-1, 2)
+def _joined_postings(blobs: Iterable[bytes], width: int) -> np.ndarray:
+    """Distinct postings of ``width`` numbers, sorted by their first two: a shingle and an id."""
+    data = np.frombuffer(b"".join(blobs), np.uint64).reshape(-1, width)
     data = data[np.lexsort((data[:, 1], data[:, 0]))]
     new = np.ones(len(data), bool)
-    new[1:] = (data[1:] != data[:-1]).any(axis=1)
-    data = data[new]  # copies in several tasks
-
-    def shared(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(the rows whose shingle occurs twice, first row and length of each such shingle)."""
-        starts = np.flatnonzero(np.append(True, rows[1:, 0] != rows[:-1, 0])[: len(rows)])
-        sizes = np.diff(np.append(starts, len(rows)))
-        return rows[np.repeat(sizes > 1, sizes)], starts[sizes > 1], sizes[sizes > 1]
-
-    ids, times = np.unique(shared(data)[0][:, 1] & ~np.uint64(1), return_counts=True)
-    first = data[(data[:, 1] & np.uint64(1)) == 1]
-    _, starts, sizes = shared(first)
-    found: dict[bytes, np.ndarray] = {}
-    for start, size in zip(starts.tolist(), sizes.tolist()):
-        members = first[start : start + size, 1] & ~np.uint64(1)
-        found[blake2b(members.tobytes(), digest_size=12).digest()] = members
-    members = np.concatenate([np.zeros(0, np.uint64), *found.values()])
-    return pd.DataFrame(
-        {
-            "bucket": [None] * len(ids) + [name for name, ms in found.items() for _ in ms],
-            "id": np.concatenate([ids, members]).view(np.int64),
-            "times": np.concatenate([times, np.zeros(len(members), np.int64)]),
-        }
-    )
+    new[1:] = (data[1:, :2] != data[:-1, :2]).any(axis=1)
+    return data[new]  # copies in several tasks
+
+
+def _shared(postings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First row and length of each shingle that several ids hold."""
+    starts = np.flatnonzero(np.append(True, postings[1:, 0] != postings[:-1, 0])[: len(postings)])
+    sizes = np.diff(np.append(starts, len(postings)))
+    return starts[sizes > 1], sizes[sizes > 1]
+
 
+def _filter_of_slice(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One row: a filter of the shingles of the slice that several sets hold."""
+    postings = _joined_postings(pdf["postings"], 2)
+    held = postings[_shared(postings)[0], 0]
+    return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "packed": [bloom.packed(held)]})
 
-def shared_buckets(docs: DataFrame, ranks, width: int, percent: int) -> DataFrame:
-    """The rows of :func:`_buckets_of_slice` of all slices.
 
-    ``id`` is the head of a set's digest. Sets that agree in it by chance are taken together, which
-    can only add comparisons.
+def _times_of_slice(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(id, times): how many shingles of the slice a set shares with others."""
+    postings = _joined_postings(pdf["postings"], 2)
+    starts, sizes = _shared(postings)
+    rows = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+    ids, times = np.unique(postings[rows, 1], return_counts=True)
+    return pd.DataFrame({"id": ids.view(np.int64), "times": times})
+
+
+def _buckets_of_slice(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(bucket, part, ids): the sets that hold a shingle, in parts of bounded length; a bucket's
+    name is a digest of its members.
+
+    Postings are a shingle, an id, and the shingle that the set holds before it among those that may
+    be shared, or 0. Where all members hold the same one before, its bucket has them all, and this
+    one is left out. That depends on the sets only, not on how shingles fall into slices.
+    """
+    postings = _joined_postings(pdf["postings"], 3)
+    names, parts, ids = [], [], []
+    for start, size in zip(*(x.tolist() for x in _shared(postings))):
+        before = postings[start : start + size, 2]
+        if before[0] and (before == before[0]).all():
+            continue
+        members = np.ascontiguousarray(postings[start : start + size, 1])
+        name = blake2b(members.tobytes(), digest_size=12).digest()
+        for part, at in enumerate(range(0, size, IDS_PER_ROW)):
+            names.append(name)
+            parts.append(part)
+            ids.append(members[at : at + IDS_PER_ROW].view(np.int64))
+    return pd.DataFrame({"bucket": names, "part": parts, "ids": pd.Series(ids, dtype=object)})
+
+
+def _postings(docs: DataFrame, ranks, width: int, slices: int, chosen, fields: int) -> DataFrame:
+    """``slice``, ``postings``: packed rows of ``fields`` numbers, dealt by their first.
+
+    ``chosen`` gives the rows of one set from its ordered shingles and its id. Equal sets of one run
+    of texts are one. An id is the head of a set's digest; sets that agree in it by chance are taken
+    together, which can only add comparisons.
     """
-    slices = bloom.slice_count(docs.count())
     schema = pa.schema([("slice", pa.int64()), ("postings", pa.binary())])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, owner, hashes in _runs(batches, width):
             digests = {row: _digest(values) for row, values in _sets(owner, hashes)}
             once = {digest: row for row, digest in digests.items()}
-            owner, keys = _ordered(owner, hashes, ranks.value)
-            tokens, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-            for (row, values), head in zip(_sets(owner, keys), _heads(digests.values())):
+            found = [np.zeros((0, fields), np.uint64)]
+            sets = _sets(*_ordered(owner, hashes, ranks.value))
+            for (row, values), head in zip(sets, _heads(digests.values())):
                 if once[digests[row]] == row:
-                    n = len(values)
-                    first = n - _least(n, percent)
-                    tokens.append(values[: first + _shared_least(n)])
-                    marked = np.full(len(tokens[-1]), head)
-                    marked[: first + 1] |= np.uint64(1)
-                    ids.append(marked)
-            records = np.column_stack([np.concatenate(tokens), np.concatenate(ids)])
+                    found.append(chosen(values, head))
+            records = np.concatenate(found)
             names, parts = bloom.by_slice(records[:, 0], slices)
             blobs = [records[part].tobytes() for part in parts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names), pa.array(blobs, pa.binary())], schema=schema
             )
 
+    return docs.select("text").mapInArrow(emit, "slice long, postings binary")
+
+
+def shared_filters(docs: DataFrame, ranks, width: int, percent: int, slices: int) -> DataFrame:
+    """The postings by slice from which slices tell the shingles that several sets hold."""
+
+    def chosen(values: np.ndarray, head: np.uint64) -> np.ndarray:
+        n = len(values)
+        tokens = values[: n - _least(n, percent) + _shared_least(n)]
+        return np.column_stack([tokens, np.full(len(tokens), head)])
+
+    return _postings(docs, ranks, width, slices, chosen, 2)
+
+
+def shared_buckets(docs: DataFrame, ranks, width: int, percent: int, slices: int, filters) -> DataFrame:
+    """The rows of :func:`_buckets_of_slice` of all slices. ``filters`` is a broadcast of the filters
+    of shared shingles, or None: then no set and no shingle is left out beforehand."""
+
+    def chosen(values: np.ndarray, head: np.uint64) -> np.ndarray:
+        n = len(values)
+        first = n - _least(n, percent) + 1
+        tokens = values[:first]
+        if filters is not None:
+            hit = bloom.maybe_in(filters.value, values[: first - 1 + _shared_least(n)])
+            tokens = tokens[hit[:first]] if hit.sum() >= _shared_least(n) else tokens[:0]
+        before = np.concatenate([np.zeros(1, np.uint64), tokens])[: len(tokens)]
+        return np.column_stack([tokens, np.full(len(tokens), head), before])
+
     return (
-        docs.select("text")
-        .mapInArrow(emit, "slice long, postings binary")
+        _postings(docs, ranks, width, slices, chosen, 3)
         .groupBy("slice")
-        .applyInPandas(_buckets_of_slice, "bucket binary, id long, times long")
+        .applyInPandas(_buckets_of_slice, "bucket binary, part long, ids array<long>")
+    )
+
+
+def _members(
+    docs: DataFrame, sizes: DataFrame, ranks, width: int, percent: int, sent_bytes: int
+) -> DataFrame:
+    """``bucket``, ``id``: the buckets without sets that share too few of their first shingles to
+    have a similar set.
+
+    ``sizes`` has ``id``, ``n`` and ``least``, the number that a set shares at least with a similar
+    one. Up to ``sent_bytes`` of filters are sent to the second scan; beyond that the shared shingles
+    of each set are counted, and the buckets are joined with these counts.
+    """
+    shingles = sizes.agg(F.sum("n")).first()[0] or 0
+    slices = bloom.slice_count(shingles, SHINGLES_PER_SLICE)
+    postings = shared_filters(docs, ranks, width, percent, slices)
+    filters = cut(
+        postings.groupBy("slice").applyInPandas(_filter_of_slice, "slice long, packed binary")
     )
+    size = filters.agg(F.sum(F.octet_length("packed"))).first()[0] or 0
+    sent = None
+    if size <= sent_bytes:
+        sent = docs.sparkSession.sparkContext.broadcast(bloom.joined(slices, filters.collect()))
+    buckets = shared_buckets(docs, ranks, width, percent, slices, sent)
+    buckets = cut(buckets.dropDuplicates(["bucket", "part"]))
+    members = buckets.select("bucket", F.explode("ids").alias("id"))
+    if sent is not None:
+        return members
+    times = postings.groupBy("slice").applyInPandas(_times_of_slice, "id long, times long")
+    shared = times.groupBy("id").agg(F.sum("times").alias("shared"))
+    enough = shared.join(sizes, "id").where("shared >= least").select("id")
+    return members.join(enough, "id").select("bucket", "id")
 
 
 def _id(digest: str):
@@ -230,17 +310,6 @@ def _id(digest: str):
     return F.shiftleft(high, 32).bitwiseOR(low).bitwiseAND(F.lit(-2))
 
 
-def _likely(buckets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """The buckets without sets that share too few of their first shingles to have a similar set.
-
-    ``sizes`` has ``id`` and ``least``, the number that a set shares at least with a similar one.
-    """
-    shared = buckets.where("bucket IS NULL").groupBy("id").agg(F.sum("times").alias("shared"))
-    enough = shared.join(sizes, "id").where("shared >= least").select("id")
-    members = buckets.where("bucket IS NOT NULL").select("bucket", "id").distinct()
-    return members.join(enough, "id")
-
-
 def _without_inner(buckets: DataFrame) -> DataFrame:
     """Leave out buckets that lie inside the largest bucket of all their members.
 
@@ -435,10 +504,9 @@ def set_components(docs: DataFrame, found: DataFrame, ranks, width: int, percent
     ``found`` has ``n`` and ``digest`` of every document.
     """
     least = F.greatest(F.lit(1), F.floor(_least_column("n", percent) / SHARED_PART))
-    sizes = found.where("digest IS NOT NULL").select(_id("digest").alias("id"), least.alias("least"))
-    sizes = sizes.groupBy("id").agg(F.min("least").alias("least"))
-    buckets = _likely(cut(shared_buckets(docs, ranks, width, percent)), sizes, percent)
-    buckets = _without_inner(cut(buckets))
+    sizes = found.where("digest IS NOT NULL").select(_id("digest").alias("id"), "n", least.alias("least"))
+    sizes = cut(sizes.groupBy("id").agg(F.max("n").alias("n"), F.min("least").alias("least")))
+    buckets = _without_inner(cut(_members(docs, sizes, ranks, width, percent, sent_bytes)))
     sets = cut(_candidate_sets(docs, buckets, ranks, width, sent_bytes))
     measure = sets.agg(F.count(F.lit(1)), F.sum(F.octet_length("tokens"))).first()
     set_bytes = (measure[1] or 0) / max(1, measure[0])
@@ -477,6 +545,24 @@ def _least_column(n: str, percent: int):
     return F.floor((F.col(n) * percent + 99) / 100)
 
 
+def _components(docs: DataFrame, width: int, percent: int, sent_bytes: int) -> DataFrame:
+    """``doc_id``, ``md5``, ``n``, ``digest``, ``component``, ``component_id`` of every row. The
+    component is a digest, null for documents without shingles."""
+    spark = docs.sparkSession
+    rows = cut(measured(docs, width))
+    ranks = spark.sparkContext.broadcast(_ranks(rows.where("part IS NOT NULL").select("part", "counts")))
+    found = rows.where("part IS NULL").select("doc_id", "md5", "n", "digest")
+    labels = set_components(docs, found, ranks, width, percent, sent_bytes)
+    ids = found.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least"))
+    named = cut(ids.join(labels, "digest", "left").withColumn("label", F.coalesce("label", "digest")))
+    least = named.groupBy("label").agg(F.min("least").alias("component_id"))
+    of_set = cut(named.join(least, "label").select("digest", F.col("label").alias("component"), "component_id"))
+    return found.join(of_set, "digest", "left").withColumn(
+        "component_id",
+        F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")),
+    )
+
+
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, sent_bytes: int = bloom.SENT_BYTES
 ) -> DataFrame:
@@ -489,31 +575,46 @@ def near_duplicates(
     own component. A null doc_id never names a component if there is another. Rows that repeat a
     document are linked with it. Shingles are compared as 58 bits of hash with the rank.
     """
-    spark = docs.sparkSession
-    rows = cut(measured(docs, width))
-    ranks = spark.sparkContext.broadcast(_ranks(rows.where("part IS NOT NULL").select("part", "counts")))
-    found = rows.where("part IS NULL").select("doc_id", "n", "digest")
-    labels = set_components(docs, found, ranks, width, percent, sent_bytes)
-    ids = found.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("least"))
-    named = cut(ids.join(labels, "digest", "left").withColumn("label", F.coalesce("label", "digest")))
-    components = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_set = cut(named.join(components, "label").select("digest", "component_id"))
-    return found.join(of_set, "digest", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias(
-            "component_id"
-        ),
+    return _components(docs, width, percent, sent_bytes).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id"
     )
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents whose component has a smaller doc_id.
+def one_of_each(
+    docs: DataFrame,
+    width: int = 5,
+    percent: int = 80,
+    sent_bytes: int = bloom.SENT_BYTES,
+    sent_rows: int = SENT_ROWS,
+) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest doc_id, null last.
 
-    Rows that repeat the doc_id that stays, and rows without a doc_id, stay too.
+    Rows are told apart by doc_id and text, so a clean text stays where its doc_id is also that of a
+    near copy. Of rows that agree in both, the smallest by the other columns stays. Documents without
+    shingles are nobody's copies and all stay. Up to ``sent_rows`` decisions are sent to the tasks;
+    beyond that the documents are joined with them by doc_id and digest of the text.
     """
-    gone = near_duplicates(docs, **options).where("doc_id != component_id")
-    gone = cut(gone.select(F.col("doc_id").alias("_gone")).distinct())
-    if gone.count() <= SENT_IDS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    found = cut(
+        _components(docs, width, percent, sent_bytes)
+        .where("component IS NOT NULL")
+        .groupBy("component", F.col("doc_id").alias("_id"), F.col("md5").alias("_md5"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    order = F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_md5")
+    best = found.groupBy("component").agg(F.min(order).alias("best"), F.sum("rows").alias("rows"))
+    best = best.where("rows > 1").select("component", "best")
+    marks = found.join(best, "component").withColumn("_stays", order == F.col("best"))
+    marks = cut(marks.where("NOT _stays OR rows > 1").select("_id", "_md5", "_stays"))
+    if marks.count() <= sent_rows:
+        marks = F.broadcast(marks)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_md5"))
+    marked = docs.withColumn("_own", F.md5("text")).join(marks, same, "left")
+    rows = F.struct(*[F.col(c) for c in docs.columns])
+    sortable = [f.name for f in docs.schema.fields if not f.dataType.simpleString().startswith(("map", "variant"))]
+    repeated = (
+        marked.where("_stays")
+        .groupBy("_id", "_md5")
+        .agg(F.min_by(rows, F.struct(*sortable)).alias("row"))
+        .select("row.*")
+    )
+    return marked.where("_stays IS NULL").select(*docs.columns).union(repeated)

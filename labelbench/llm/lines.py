@@ -22,6 +22,7 @@ from labelbench.llm.bloom import SENT_BYTES, bits_for, by_slice, joined, maybe_i
 from labelbench.shared import cut
 
 SPACES = b" \t\n\x0b\x0c\r"
+BYTES_PER_SLICE = 16 << 20  # of text, whose lines leave a few hashes each
 SENT_KEYS = 500_000  # confirmed lines that may be sent to the tasks
 
 
@@ -64,7 +65,8 @@ def _slice_filters(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def repeat_filters(docs: DataFrame, min_chars: int = 1) -> tuple[DataFrame, int]:
     """(``slice``, ``packed``): the filters of hashes of lines seen in two documents; slice count."""
-    slices = slice_count(docs.count())
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    slices = slice_count(size, BYTES_PER_SLICE)
     schema = pa.schema([("slice", pa.int64()), ("hashes", pa.binary())])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,8 +1,11 @@
+import random
+
+import numpy as np
 import pytest
 
-from labelbench.llm import jaccard
+from labelbench.llm import bloom, jaccard
 from labelbench.llm.shingles import shingle_sets
-from odd_docs import odd_rows
+from odd_docs import odd_rows, words
 
 
 def _shingles(text):
@@ -10,7 +13,7 @@ def _shingles(text):
     return {tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4))} if found else set()
 
 
-def _brute(rows):
+def _roots(rows):
     sets = [_shingles(r[1]) for r in rows]
     parent = list(range(len(rows)))
 
@@ -24,13 +27,17 @@ def _brute(rows):
             b = sets[j]
             if a and b and 100 * len(a & b) >= 80 * len(a | b):
                 parent[find(i)] = find(j)
+    return sets, [find(i) for i in range(len(rows))]
+
+
+def _brute(rows):
+    sets, roots = _roots(rows)
     least = {}
-    for i, (row, s) in enumerate(zip(rows, sets)):
+    for root, row, s in zip(roots, rows, sets):
         if s and row[0] is not None:
-            least[find(i)] = min(least.get(find(i), row[0]), row[0])
+            least[root] = min(least.get(root, row[0]), row[0])
     return sorted(
-        (str(r[0]), len(s), str(least.get(find(i)) if s else r[0]))
-        for i, (r, s) in enumerate(zip(rows, sets))
+        (str(r[0]), len(s), str(least.get(root) if s else r[0])) for root, r, s in zip(roots, rows, sets)
     )
 
 
@@ -43,14 +50,69 @@ def test_groups_equal_brute_force(odd, monkeypatch, most_sets):
     assert sorted((str(r[0]), r[1], str(r[2])) for r in rows) == _brute(odd_rows())
 
 
-def test_one_of_each_group_stays(odd):
-    kept = jaccard.one_of_each(odd)
+@pytest.mark.parametrize("sent_rows", [200_000, 0])
+def test_one_of_each_group_stays(odd, sent_rows):
+    """The row of the smallest doc_id, null last; all rows without shingles."""
+    rows = odd_rows()
+    sets, roots = _roots(rows)
+    least, wanted = {}, []
+    for root, row, s in zip(roots, rows, sets):
+        if not s:
+            wanted.append(row)
+        elif root not in least or (row[0] is None, row[0]) < (least[root][0] is None, least[root][0]):
+            least[root] = row
+    wanted += least.values()
+    kept = jaccard.one_of_each(odd, sent_rows=sent_rows)
     assert kept.columns == odd.columns
-    brute = {(d, c) for d, _, c in _brute(odd_rows())}
-    gone = {d for d, c in brute if d != c and "None" not in (d, c)}
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(
-        str(r[0]) for r in odd_rows() if str(r[0]) not in gone
+    assert sorted(map(repr, (tuple(r)[:5] for r in kept.collect()))) == sorted(map(repr, wanted))
+
+
+def test_a_clean_text_outlives_its_namesake(spark):
+    base = [f"w{i}" for i in range(100)]
+    near, clean = " ".join([*base[:-1], "other"]), " ".join(f"c{i}" for i in range(60))
+    base = " ".join(base)
+    rows = [(1, base), (1, base), (2, near), (2, clean), (None, near), (None, clean + " more"), (3, None), (3, None)]
+    kept = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(repr, map(tuple, kept))) == sorted(
+        map(repr, [(1, base), (2, clean), (3, None), (3, None)])
+    )
+
+
+def test_columns_that_cannot_be_sorted(spark):
+    docs = spark.sql(
+        "SELECT doc_id, 'a b c d e f g' AS text, map('k', doc_id) AS extra FROM VALUES (1L), (1L), (2L) t(doc_id)"
+    )
+    assert [tuple(r) for r in jaccard.one_of_each(docs).collect()] == [(1, "a b c d e f g", {"k": 1})]
+
+
+def _rows_of_slices(docs, slices):
+    """How many rows the filters and the buckets of so many slices are, and the distinct members."""
+    ranks = docs.sparkSession.sparkContext.broadcast(np.zeros(jaccard.COUNTERS, np.uint8))
+    postings = jaccard.shared_filters(docs, ranks, 5, 80, slices)
+    filters = postings.groupBy("slice").applyInPandas(
+        jaccard._filter_of_slice, "slice long, packed binary"
     )
+    sent = docs.sparkSession.sparkContext.broadcast(bloom.joined(slices, filters.collect()))
+    buckets = jaccard.shared_buckets(docs, ranks, 5, 80, slices, sent).cache()
+    return filters.count(), buckets.count(), {tuple(sorted(r["ids"])) for r in buckets.collect()}
+
+
+def test_rows_follow_the_documents_not_the_slices(spark):
+    """Groups of near copies give as many rows in 64 slices as in one, but for chance hits."""
+    rng = random.Random(3)
+    rows = []
+    for group in range(40):
+        base = words(rng, 120, "abcdefghij")
+        for copy in range(1 + group % 8):
+            text = list(base)
+            for _ in range(rng.randint(0, 3)):
+                text[rng.randrange(120)] = f"new{rng.randrange(10**6)}"
+            rows.append((100 * group + copy, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).cache()
+    one, many = _rows_of_slices(docs, 1), _rows_of_slices(docs, 64)
+    assert one[0] == 1 and many[0] <= 64
+    assert many[1] <= 1.1 * one[1] and one[1] < 10 * len(rows)
+    assert one[2] <= many[2] or many[2] <= one[2]
 
 
 def test_nothing_to_join(no_docs):
