@@ -157,38 +157,45 @@ ORACLES = {
         ), o AS (
             SELECT doc_id AS page_id, (quality = 0 OR toxic = 1)::int AS bad FROM labels
             WHERE (quality = 0 OR toxic = 1) IS NOT NULL
+        ), q AS (
+            SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS site FROM p
+        ), h0 AS (
+            SELECT site, count(bad) AS n, coalesce(sum(bad), 0) AS bad, string_split(site, '.') AS labels,
+                CASE WHEN regexp_matches(site, '{ADDRESS}') THEN 4
+                    WHEN regexp_matches(site, '{LONG_SUFFIX}') THEN 2 ELSE 1 END AS long
+            FROM q LEFT JOIN o USING (page_id) GROUP BY site
         ), h AS (
-            SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
-                string_split(host, '.')[-1] AS suffix,
-                count(bad) AS n, coalesce(sum(bad), 0) AS bad
-            FROM p LEFT JOIN o USING (page_id) GROUP BY host
+            SELECT site, n, bad, array_to_string(labels[-least(4, long + 1):], '.') AS domain,
+                array_to_string(labels[-long:], '.') AS suffix
+            FROM h0
         ), d AS (
-            SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY ALL
+            SELECT domain, suffix, count_if(n > 0) AS n, sum(if(n > 0, bad / n, 0)) AS bad
+            FROM h GROUP BY ALL
         ), s AS (
-            SELECT suffix, sum(n) AS n, sum(bad) AS bad,
-                (sum(sum(bad)) OVER () + 1) / (sum(sum(n)) OVER () + 2) AS parent
-            FROM d GROUP BY suffix
+            SELECT suffix, count_if(n > 0) AS n, sum(if(n > 0, bad / n, 0)) AS bad FROM d GROUP BY suffix
         ), s1 AS (
-            SELECT *, 1 / least(0.5, greatest(0.001, coalesce(
-                sum((bad - n * parent) ** 2 - n * parent * (1 - parent)) OVER ()
-                / nullif(sum(n * (n - 1) * parent * (1 - parent)) OVER (), 0), 0))) - 1 AS k
+            SELECT *, 1.0 + sum(bad) OVER () - bad AS above,
+                1.0 + sum(n) OVER () - n - (sum(bad) OVER () - bad) AS below
             FROM s
+        ), s2 AS ({prior_of_s1}
         ), d1 AS (
-            SELECT d.*, (s1.bad + k * parent) / (s1.n + k) AS parent FROM d JOIN s1 USING (suffix)
-        ), d2 AS (
-            SELECT *, 1 / least(0.5, greatest(0.001, coalesce(
-                sum((bad - n * parent) ** 2 - n * parent * (1 - parent)) OVER ()
-                / nullif(sum(n * (n - 1) * parent * (1 - parent)) OVER (), 0), 0))) - 1 AS k
-            FROM d1
+            SELECT d.*, if(d.n > 0, d.bad / d.n, 0) AS share, a + s2.bad - share AS above,
+                b + s2.n - (d.n > 0)::int - (s2.bad - share) AS below
+            FROM d JOIN s2 USING (suffix)
+        ), d2 AS ({prior_of_d1}
         ), h1 AS (
-            SELECT h.*, (d2.bad + k * parent) / (d2.n + k) AS parent FROM h JOIN d2 USING (domain)
-        ), h2 AS (
-            SELECT *, 1 / least(0.5, greatest(0.001, coalesce(
-                sum((bad - n * parent) ** 2 - n * parent * (1 - parent)) OVER ()
-                / nullif(sum(n * (n - 1) * parent * (1 - parent)) OVER (), 0), 0))) - 1 AS k
-            FROM h1
+            SELECT h.*, if(h.n > 0, h.bad / h.n, 0) AS gave, a + d2.bad - gave AS above,
+                b + d2.n - (h.n > 0)::int - (d2.bad - gave) AS below
+            FROM h JOIN d2 USING (domain)
+        ), h2 AS ({prior_of_h1}
         ), h3 AS (
-            SELECT host, n + k AS t, bad + k * parent AS a, n - bad + k * (1 - parent) AS b FROM h2
+            SELECT site, a + bad AS a, b + n - bad AS b FROM h2
+        ), h4 AS (
+            SELECT site, {LIMIT} ** a * (1 - {LIMIT}) ** b / a * exp(lgamma(a + b) - lgamma(a) - lgamma(b))
+                * list_sum(list_transform(range(0, (200 + 2 * (a + b))::bigint), lambda i: exp(
+                    lgamma(a + b + i) - lgamma(a + b) - lgamma(a + 1 + i) + lgamma(a + 1)
+                    + i * ln({LIMIT})))) AS share
+            FROM h3
         ), r(rule, verdict) AS (
             VALUES ('net/', 'block'), ('example.net/en/', 'allow'), ('example.com/de/', 'block'),
                 ('org/fr/', 'allow')
@@ -201,8 +208,31 @@ ORACLES = {
             GROUP BY host, path
         )
         SELECT page_id, host, path, f.rule,
-            coalesce(f.verdict, CASE WHEN a / t - 1.645 * sqrt(a * b / (t * t * (t + 1))) > 0.3
-                THEN 'block' ELSE 'allow' END) AS verdict
-        FROM p JOIN h3 USING (host) LEFT JOIN f USING (host, path)
+            coalesce(f.verdict, CASE WHEN share < {DOUBT} THEN 'block' ELSE 'allow' END) AS verdict
+        FROM q JOIN h4 USING (site) LEFT JOIN f USING (host, path)
     """,
 }
+
+
+def _prior_sql(level: str) -> str:
+    """One level's prior from ``above`` and ``below``, as in ``hosts._with_prior``."""
+    return f"""
+            SELECT *, greatest({hosts.LEAST_STRENGTH}, odds / (vague + spread * (odds - vague)) - 1) AS k,
+                k * mean AS a, k * (1 - mean) AS b
+            FROM (
+                SELECT *, above / (above + below) AS mean, mean * (1 - mean) AS odds,
+                    odds / (above + below + 1) AS vague,
+                    least({hosts.MOST_SPREAD}, greatest({hosts.LEAST_SPREAD},
+                        (sum((bad - n * mean) ** 2 - n * odds - n * (n - 1) * vague) OVER ()
+                            + {hosts.USUAL_SPREAD})
+                        / (sum(n * (n - 1) * (odds - vague)) OVER () + 1))) AS spread
+                FROM {level}
+            )"""
+
+
+for _name in ("ADDRESS", "LONG_SUFFIX", "LIMIT", "DOUBT"):
+    ORACLES["op8_url_filter"] = ORACLES["op8_url_filter"].replace("{" + _name + "}", str(getattr(hosts, _name)))
+for _level in ("s1", "d1", "h1"):
+    ORACLES["op8_url_filter"] = ORACLES["op8_url_filter"].replace(
+        "{prior_of_" + _level + "}", _prior_sql(_level)
+    )

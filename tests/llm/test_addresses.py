@@ -1,12 +1,16 @@
 """URL filters and pseudonyms."""
 
 import re
+import tempfile
 from collections import Counter
 
+import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from labelbench.llm import hosts, pseudonyms
+from labelbench.llm import hosts, pseudonyms, queries
 from labelbench.llm.queries import URL_RULES
 from odd_docs import odd_rows
 
@@ -72,13 +76,77 @@ def test_many_bad_pages_block_a_host_and_few_do_not(spark):
     outcomes = spark.createDataFrame([*bad, (0, None)], "page_id long, bad int")
     found = {r["host"]: r for r in hosts.judged(pages, outcomes, []).collect()}
     assert found["bad.x.org"]["verdict"] == "block" and found["good.y.org"]["verdict"] == "allow"
-    places = pages.select("page_id", hosts.host_of("url").alias("host"))
-    seen = {r["host"]: r for r in hosts.host_reputations(places, outcomes).collect()}
+    places = pages.select("page_id", hosts.site_of(hosts.host_of("url")).alias("site"))
+    seen = {r["site"]: r for r in hosts.host_reputations(places, outcomes).collect()}
     assert seen["few.z.org"]["n"] == 2 and seen["few.z.org"]["mean"] < 0.95
     # A new host stands near its registered domain, not near the mean of all.
     assert seen["new.x.org"]["n"] == 0 and seen["new.x.org"]["mean"] > seen["good.y.org"]["mean"] + 0.2
 
 
+def _numeric_share(x, a, b, steps=400_000):
+    """The beta share up to ``x`` by summing the density over a fine grid, densest at 0."""
+    grid = (np.arange(steps) + 0.5) / steps
+    t = grid**6
+    density = t ** (a - 1) * (1 - t) ** (b - 1) * 6 * grid**5
+    return density[t <= x].sum() / density.sum()
+
+
+def test_the_bound_is_a_beta_quantile():
+    rng = np.random.default_rng(1)
+    for a, b in [(1, 1), (0.7, 1.3), (5, 2), (30, 90), (3000, 7000), (1.5, 800)]:
+        x = hosts.lower_quantile(0.05, np.array([float(a)]), np.array([float(b)]))[0]
+        share = hosts.beta_share(np.array([x]), np.array([float(a)]), np.array([float(b)]))[0]
+        assert share == pytest.approx(0.05, abs=1e-9)
+        assert np.mean(rng.beta(a, b, 400_000) <= x) == pytest.approx(0.05, abs=2e-3)
+        if a < 1000:
+            assert _numeric_share(0.3, a, b) == pytest.approx(
+                hosts.beta_share(np.array([0.3]), np.array([float(a)]), np.array([float(b)]))[0], abs=1e-3
+            )
+
+
+def _reputed(spark, outcomes, urls):
+    """(verdict by page, the SQL's too) of pages and their outcomes, in the registered query's form."""
+    rows = [(i, url, "") for i, url in enumerate(urls)]
+    folder = tempfile.mkdtemp(prefix="pages-")
+    spark.createDataFrame(rows, "page_id long, url string, html string").toPandas().to_parquet(
+        f"{folder}/pages.parquet"
+    )
+    labels = pd.DataFrame(outcomes, columns=["doc_id", "quality", "toxic"]).astype("Int32")
+    labels.to_parquet(f"{folder}/labels.parquet")
+    found = {r["page_id"]: r["verdict"] for r in queries.op8_url_filter(spark, folder).collect()}
+    db = duckdb.connect()
+    for name in ("pages", "labels"):
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    db.execute("SELECT * FROM (" + queries.ORACLES["op8_url_filter"] + ")")
+    names = [d[0] for d in db.description]
+    twin = {r[names.index("page_id")]: r[names.index("verdict")] for r in db.fetchall()}
+    assert found == twin
+    return found
+
+
+FIVE = [f"http://h{i % 5}.site{i % 5}.info/p{i}" for i in range(10)]
+
+
+@pytest.mark.parametrize(
+    "outcomes", [[], [(0, 1, 0)], [(0, 0, 0)], [(0, 0, 1), (1, 1, 0)], [(0, None, None)]]
+)
+def test_little_evidence_blocks_nothing(spark, outcomes):
+    assert set(_reputed(spark, outcomes, FIVE).values()) == {"allow"}
+
+
+def test_the_method_blocks_hosts_that_no_rule_names(spark):
+    """Bad pages block their host, and many bad hosts of one domain its unknown hosts, but not other
+    domains of its suffix."""
+    urls = [f"https://user@spam.com:{8000 + i}/x" for i in range(9)]
+    urls += [f"http://sub{i}.bad.co.uk/y" for i in range(12)] + ["http://new.bad.co.uk/z"]
+    urls += [f"http://fine{i}.org/" for i in range(30)] + ["http://other.co.uk/", "http://one.info", "x"]
+    urls += [f"http://10.0.0.{i}/" for i in range(3)]
+    outcomes = [(i, 0, 0) for i in range(21)] + [(i, 1, 0) for i in range(22, 52)] + [(55, 0, 0)]
+    found = _reputed(spark, outcomes, urls)
+    blocked = {i for i, verdict in found.items() if verdict == "block"}
+    assert blocked == set(range(22))
+
+
 VALUES = {
     "card": ["4111111111111111", "4111-1111-1111-1111", "5500 0000 0000 0004", "378282246310005"],
     "phone": ["+1 (212) 555-0100", "212-555-0100", "(999) 999-9999"],
