@@ -149,9 +149,11 @@ def training_rows(docs: DataFrame, per_language: int, most_rows: int = MOST_ROWS
     """``lang``, ``features``: a bounded sample of labelled rows with a letter in the text.
 
     Of each language the ``per_language`` rows whose doc_id hashes lowest, or fewer when there are so
-    many languages that all rows would be more than ``most_rows``. Each language has a row at least.
+    many languages that all rows would be more than ``most_rows``. Each language that any row with a
+    letter has gets a row at least: rows without a letter are neither counted nor drawn.
     """
-    named = docs.where(F.col("lang").isNotNull()).select("doc_id", "lang", "text")
+    named = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(HAS_LETTER))
+    named = named.select("doc_id", "lang", "text")
     kept = named.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     per_language = max(1, min(per_language, most_rows // max(1, kept.count())))
     # Three times the wanted rows pass a bound on the hash, so few rows are measured and ranked.
@@ -165,7 +167,7 @@ def training_rows(docs: DataFrame, per_language: int, most_rows: int = MOST_ROWS
     return (
         named.withColumn("drawn", drawn)
         .join(F.broadcast(kept), "lang")  # one row per language
-        .where((F.col("drawn") < F.lit(3.0 * per_language + 12) / F.col("n")) & F.col("text").rlike(HAS_LETTER))
+        .where(F.col("drawn") < F.lit(3.0 * per_language + 12) / F.col("n"))
         .select("doc_id", "lang", "drawn", lanes("text").alias("features"))
         .withColumn("place", F.row_number().over(best))
         .where(F.col("place") <= per_language)

@@ -108,6 +108,15 @@ def test_all_of_many_languages_are_learned(spark):
     assert language.training_rows(docs, 400, 200).groupBy("lang").count().where("count <= 5").count() == 40
 
 
+def test_rows_without_letters_take_no_languages_place(spark):
+    """20,000 letterless rows of a language and one with letters: it is learned from the one."""
+    rows = spark.range(20_000).selectExpr("id AS doc_id", "'12 34' AS text", "'zz' AS lang")
+    rows = rows.union(spark.sql("SELECT 30000L, 'aha oho uhu aha', 'zz'"))
+    rows = rows.union(spark.sql("SELECT id + 40000, concat('the of and ', id), 'en' FROM range(50)"))
+    found = {r["lang"]: r["n"] for r in language.training_rows(rows, 400).groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    assert found == {"zz": 1, "en": 50}
+
+
 def test_texts_without_letters_have_no_language(spark, odd):
     codes = language.trained(_languages(spark), per_language=30)
     out = language.identified(odd, codes)
