@@ -8,13 +8,13 @@ WIDTH = 5
 SPACES = b" \t\n\x0b\x0c\r"
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
-def _odd_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def odd_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse, modulo 2**64."""
     base = 0x9E3779B97F4A7C15
     forward = np.full(n, base, np.uint64)
@@ -26,7 +26,7 @@ def _odd_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 # Bytes are spread over 64 bits first; A-Z count as a-z, white space as nothing.
 _LOWER = np.arange(256)
 _LOWER[65:91] += 32
-_SPREAD = _mixed((_LOWER + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_SPREAD = mixed((_LOWER + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _IS_SPACE = np.isin(np.arange(256), list(SPACES))
 _SPREAD[_IS_SPACE] = 0
 
@@ -48,9 +48,9 @@ def shingle_sets(texts: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, np
     if not len(first):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     # A word's hash: sum of spread bytes times powers of their places, from prefix sums.
-    forward, back = _odd_powers(len(data))
+    forward, back = odd_powers(len(data))
     sums = np.concatenate([[np.uint64(0)], np.cumsum(_SPREAD[data] * forward)])
-    words = _mixed((sums[after] - sums[first]) * back[first] + (after - first).astype(np.uint64))
+    words = mixed((sums[after] - sums[first]) * back[first] + (after - first).astype(np.uint64))
     row = np.searchsorted(ends, first, side="right")
     counts = np.bincount(row, minlength=len(texts))
     starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
@@ -65,7 +65,7 @@ def shingle_sets(texts: list[bytes], width: int = WIDTH) -> tuple[np.ndarray, np
     for i in range(width):
         word = np.where(i < left, padded[at + i], np.uint64(0))
         hashes = hashes * np.uint64(0xD6E8FEB86659FD93) + word
-    hashes = _mixed(hashes)
+    hashes = mixed(hashes)
     order = np.lexsort((hashes, owner))
     owner, hashes = owner[order], hashes[order]
     new = np.ones(len(order), bool)
