@@ -7,7 +7,23 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from labelbench.llm import bpe, cuckoo, fingerprints, hosts, jaccard, language, lines, mixing, pseudonyms, sharding
+from labelbench.llm import (
+    bpe,
+    conversations,
+    cuckoo,
+    fingerprints,
+    hosts,
+    jaccard,
+    language,
+    later_oracles,
+    leaks,
+    lines,
+    mixing,
+    pseudonyms,
+    search,
+    sharding,
+)
+from labelbench.shared import cut
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -98,6 +114,30 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = leaks.leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), width=10)
+    n_hit = leaks.hit_words()
+    return found.select(
+        "doc_id",
+        F.col("words").alias("n_words"),
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    placed = cut(conversations.placed_turns(_table(spark, folder, "conversations")))
+    turns, convs = conversations.rebuilt(placed)
+    return conversations.prefix_trie(cut(turns), convs)
+
+
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    documents, items = _table(spark, folder, "documents"), _table(spark, folder, "benchmark")
+    return search.ranked_documents(documents, items, top=20)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_sharding": op2_sharding,
@@ -109,9 +149,15 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_bpe": op10_bpe,
+    "op11_decontamination": op11_decontamination,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLES = {
+    "op11_decontamination": later_oracles.LEAKS,
+    "op12_prefix_trie": later_oracles.PREFIX_TRIE,
+    "op13_ranked_search": later_oracles.SEARCH,
     "op3_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,

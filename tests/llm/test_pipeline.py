@@ -38,7 +38,7 @@ def test_there_are_five_stages_in_order():
     ]
     assert "pipeline" in __spark_entry__.queries()
     names = [q for q in __spark_entry__.queries() if q.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 def test_columns_stay(stages):
