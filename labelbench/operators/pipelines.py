@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from labelbench.operators.features import assembler, frequency_indexer
 from labelbench.operators.metrics import pairs
+from labelbench.operators.tree_columns import votes
 from labelbench.shared import shared_folder
 
 
@@ -95,15 +96,14 @@ def rank_together(
 def vote(forest, test: DataFrame) -> DataFrame:
     """(prediction, label) by majority of the trees; a tie goes to 0.
 
-    The forest itself averages class probabilities, so the two can differ on single rows.
+    The forest itself averages class probabilities, so the two can differ on single rows. The trees are
+    column expressions over the assembled vector, unpacked once.
     """
-    wide = test
-    for i, tree in enumerate(forest.trees):
-        one = tree.copy().setPredictionCol(f"_t{i}").setRawPredictionCol("").setProbabilityCol("")
-        wide = one.transform(wide)
-    ones = sum((F.col(f"_t{i}") for i in range(len(forest.trees))), F.lit(0.0))
-    majority = F.when(ones * 2 > len(forest.trees), 1.0).otherwise(0.0)
-    return wide.select(majority.alias("prediction"), F.col("label").cast("double").alias("label"))
+    unpacked = test.select("label", F.array(vector_to_array("features")).alias("_once"))
+    unpacked = unpacked.select("label", F.explode("_once").alias("_x"))
+    features = [F.get("_x", F.lit(i)) for i in range(forest.numFeatures)]
+    majority = F.when(votes(forest, features) * 2 > forest.getNumTrees, 1.0).otherwise(0.0)
+    return unpacked.select(majority.alias("prediction"), F.col("label").cast("double").alias("label"))
 
 
 def feature_importance(model, features: Sequence[str], like: DataFrame) -> DataFrame:
