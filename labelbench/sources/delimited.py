@@ -37,6 +37,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def read_placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row per line: ``value``, the ``file`` it is in and the first byte of its ``block`` there.
+
+    A block is the part of a file that one task reads, so the place of a line is known to within it.
+    """
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    return spark.read.text(path).select("value", *place)
+
+
 def drop_header(lines: DataFrame, column: str = "value") -> DataFrame:
     """Remove every line equal to the first one.
 
@@ -162,3 +171,31 @@ def parse_lines(
         F.when(well_formed, label).otherwise(error).alias("label"),
         F.when(well_formed, features).otherwise(error).alias("features"),
     )
+
+
+def rejected_lines(
+    lines: DataFrame,
+    n_features: int | None = len(FEATURES),
+    sep: str = ";",
+    column: str = "value",
+) -> DataFrame:
+    """The malformed lines with all their columns, and the ``reason``: ``fields`` where their number is wrong,
+    else ``value``."""
+    kept = lines.withColumn("_line", F.col(column))
+    parsed = parse_lines(kept, n_features, sep=sep, column=column, permissive=True)
+    width = F.size(F.split("_line", re.escape(sep), -1))
+    wrong = width < 2 if n_features is None else width != n_features + 1
+    rest = [F.col(f"`{c}`") for c in lines.columns if c != column]
+    return parsed.where("malformed").select(
+        *rest, F.col("_line").alias(column), F.when(wrong, "fields").otherwise("value").alias("reason")
+    )
+
+
+def rejects_by_file(lines: DataFrame, n_features: int | None = len(FEATURES), sep: str = ";") -> DataFrame:
+    """``file``, ``n_lines``, ``n_malformed``, ``first_block`` (of a malformed line) of lines with their place."""
+    parsed = parse_lines(lines, n_features, sep=sep, permissive=True)
+    return parsed.groupBy("file").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.count_if("malformed").alias("n_malformed"),
+        F.min(F.when(F.col("malformed"), F.col("block"))).alias("first_block"),
+    )
