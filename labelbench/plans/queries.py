@@ -59,17 +59,17 @@ def _laid_out(stored: DataFrame, key: str) -> DataFrame:
     return cut(splits.stable_layout(stored, key, stored.count() // ROWS_PER_TASK + 1))
 
 
-def _vector_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(train, test) of stored labelled vectors."""
+def _vector_split(spark: SparkSession, folder: str, seeded: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of stored labelled vectors, in a layout of their own for models with a seed."""
     samples = assemble(balanced(text_samples(spark, folder)), TEXT_FEATURES)
     stored = cut(samples.select("doc_id", "label", "features"))
-    return splits.hash_split(_laid_out(stored, "doc_id"), "doc_id")
+    return splits.hash_split(_laid_out(stored, "doc_id") if seeded else stored, "doc_id")
 
 
 SEPARABLE_FEATURES = ["f_discount", "l_tax", "f_quantity"]
 
 
-def _separable_items(spark: SparkSession, folder: str) -> DataFrame:
+def _separable_items(spark: SparkSession, folder: str, seeded: bool = True) -> DataFrame:
     """Every line item, labelled by its discount, which is also a feature: 11 values, split in the
     middle. Any of the classifiers can tell the classes apart without an error."""
     items = table(spark, folder, "lineitem").select(
@@ -79,11 +79,11 @@ def _separable_items(spark: SparkSession, folder: str) -> DataFrame:
         "l_tax",
         (F.col("l_quantity") / 50).alias("f_quantity"),
     )
-    return _laid_out(cut(items), "key")
+    return _laid_out(cut(items), "key") if seeded else cut(items)
 
 
-def _separable_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    rows = assemble(_separable_items(spark, folder), SEPARABLE_FEATURES)
+def _separable_split(spark: SparkSession, folder: str, seeded: bool = True) -> tuple[DataFrame, DataFrame]:
+    rows = assemble(_separable_items(spark, folder, seeded), SEPARABLE_FEATURES)
     return splits.hash_split(rows.select("key", "label", "features"), "key")
 
 
@@ -421,8 +421,8 @@ def confusion_matrix(spark: SparkSession, folder: str) -> DataFrame:
 
 def _holdout(name: str, split: Callable = _vector_split) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        train, test = split(spark, folder)
         seeded = {"seed": SEED} if name in ("decision_tree", "random_forest", "boosted_trees") else {}
+        train, test = split(spark, folder, bool(seeded))
         model = pipelines.fit(estimator(name, **seeded), train)
         return _rounded_report(metrics.model_report(pipelines.score(model, test), name))
 
