@@ -13,7 +13,15 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 # Values are looked for from left to right; kinds are told apart by their form afterwards.
-EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)+"
+# An email's name is all from its first letter or digit on that white space, brackets, quotes and marks
+# that part values leave of it; letters may be of any script.
+EMAIL = (
+    r"(?<![\p{L}\p{N}])[\p{L}\p{N}][^\s\p{Z}()<>\[\]{}\"“”„«»,;:/=|@\\]*+"
+    r"@[\p{L}\p{N}](?:[\p{L}\p{M}\p{N}-]*[\p{L}\p{N}])?(?:\.[\p{L}\p{M}\p{N}-]+)+"
+)
+GAP = "[ \u00a0\u202f-]"  # between groups of digits: a space, one that does not break, a dash
+# In one piece, or in groups of four.
+IBAN = r"[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?:[ \u00a0][A-Z0-9]{4}){2,7}(?:[ \u00a0][A-Z0-9]{1,3})?)"
 ADDRESS = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
 DATE = r"\d{4}-\d{1,2}-\d{1,2}|\d{1,2}[./]\d{1,2}[./]\d{4}"
 DATE_END = r"(?!(?!(?<=-\d\d)T\d)[\w/-]|\.\d)"  # of a timestamp the date only
@@ -27,18 +35,18 @@ NOT_CARD = (
     rf"{EMAIL}|(?:{ADDRESS})(?![\w]|\.\d)|(?:{DATE}){DATE_END}|(?:{SOCIAL}|{PHONE})(?![\w-])"
 )
 # Groups of digits up to the next value of another kind; which of them are cards is found later.
-RUN = rf"(?=\d(?:[ -]?\d){{12}})\d++(?!\w)(?:[ -](?!{NOT_CARD})\d++(?!\w))*+"
+RUN = rf"(?=\d(?:{GAP}?\d){{12}})\d++(?!\w)(?:{GAP}(?!{NOT_CARD})\d++(?!\w))*+"
 FOUND = (
-    rf"{EMAIL}|(?<![\w.])(?:{ADDRESS})(?![\w]|\.\d)|(?<![\w./-])(?:{DATE}){DATE_END}"
+    rf"{EMAIL}|(?<!\w)(?:{IBAN})(?!\w)|(?<![\w.])(?:{ADDRESS})(?![\w]|\.\d)|(?<![\w./-])(?:{DATE}){DATE_END}"
     rf"|(?<![\w-])(?:{SOCIAL})(?![\w-])|(?<!\w)(?:{PHONE})(?!\w)|(?<![\w.]){RUN}"
 )
 # Usual groupings of cards, then rarer ones; "x" stands for a space or dash.
 CARD_FORMS = (
-    r"\d{13,19}|\d{4}x\d{4}x\d{4}x\d{4}|\d{4}x\d{6}x\d{4,5}".replace("x", "[ -]"),
-    r"(?:\d{4}x){3,4}\d{1,3}|\d{4}x\d{3}x\d{3}x\d{3}|\d{6}x\d{7,13}".replace("x", "[ -]"),
+    r"\d{13,19}|\d{4}x\d{4}x\d{4}x\d{4}|\d{4}x\d{6}x\d{4,5}".replace("x", GAP),
+    r"(?:\d{4}x){3,4}\d{1,3}|\d{4}x\d{3}x\d{3}x\d{3}|\d{6}x\d{7,13}".replace("x", GAP),
 )
 # Cheap test for texts that cannot hold any value.
-LIKELY = r"\d[\d ./()-]{5}|@"
+LIKELY = r"\d[\d \u00a0\u202f./()-]{5}|@|[A-Z]{2}\d{2}"
 FIRST_DAY = "1900-01-01"
 DAYS = (252, 290)  # 73,080 days, to 2100-01-31
 HALF_DAYS = DAYS[0] * DAYS[1]
@@ -74,17 +82,52 @@ def _characters(text: Column) -> Column:
     return F.filter(F.split(text, ""), lambda c: c != "")
 
 
+# Letters that follow each other in the same script and case: (first, last) of each run.
+LETTER_RUNS = [
+    ("\u00c0", "\u00d6"),
+    ("\u00d8", "\u00de"),
+    ("\u00df", "\u00f6"),
+    ("\u00f8", "\u00ff"),
+    ("\u0100", "\u017f"),
+    ("\u0391", "\u03a1"),
+    ("\u03b1", "\u03c9"),
+    ("\u0410", "\u042f"),
+    ("\u0430", "\u044f"),
+    ("\u0450", "\u045f"),
+    ("\u05d0", "\u05ea"),
+    ("\u0620", "\u064a"),
+    ("\u0905", "\u0939"),
+    ("\u0e01", "\u0e2e"),
+    ("\u3041", "\u3096"),
+    ("\u30a1", "\u30fa"),
+    ("\u4e00", "\u9fff"),
+    ("\uac00", "\ud7a3"),
+]
+
+
+def _char(code: Column) -> Column:
+    return F.decode(F.unhex(F.lpad(F.hex(code.cast("long")), 8, "0")), "UTF-32")
+
+
 def _moved(character: Column, by: Column) -> Column:
-    """The character moved on in its own class: digits, lower case, upper case; others stay."""
+    """The character moved on in its own class: digits, lower case, upper case, a run of letters of
+    another script, or else a block of 16 letters; other characters stay."""
     code = F.ascii(character)
 
-    def within(first: str, size: int) -> Column:
-        return F.char((code - ord(first) + by) % size + ord(first))
+    def within(first: str, last: str) -> Column:
+        size = ord(last) - ord(first) + 1
+        step = by if size <= 256 else by * 83
+        moved = (code - ord(first) + step) % size + ord(first)
+        return F.char(moved) if ord(last) < 128 else _char(moved)
 
+    other = F.when(character.rlike(r"\p{L}"), _char(code - code % 16 + (code + by) % 16)).otherwise(character)
+    for first, last in LETTER_RUNS:
+        other = F.when(code.between(ord(first), ord(last)), within(first, last)).otherwise(other)
     return (
-        F.when(character.between("0", "9"), within("0", 10))
-        .when(character.between("a", "z"), within("a", 26))
-        .when(character.between("A", "Z"), within("A", 26))
+        F.when(character.between("0", "9"), within("0", "9"))
+        .when(character.between("a", "z"), within("a", "z"))
+        .when(character.between("A", "Z"), within("A", "Z"))
+        .when(code > 127, other)
         .otherwise(character)
     )
 
@@ -135,17 +178,17 @@ def _luhn_sum(digits: Column, length: Column) -> Column:
     )
 
 
-def _refilled(form: Column, digits: Column) -> Column:
-    """``form`` with its digits replaced by ``digits``, in order."""
+def _refilled(form: Column, filling: Column, places: str = "[0-9]") -> Column:
+    """``form`` with its digits, or other ``places``, replaced by the characters of ``filling``, in order."""
 
     def put(state: Column, c: Column) -> Column:
-        is_digit = c.between("0", "9")
+        is_place = c.rlike(f"^{places}$")
         return F.struct(
             F.concat(
                 state["out"],
-                F.when(is_digit, F.substr(digits, state["at"], F.lit(1))).otherwise(c),
+                F.when(is_place, F.substr(filling, state["at"], F.lit(1))).otherwise(c),
             ).alias("out"),
-            (state["at"] + F.when(is_digit, 1).otherwise(0)).cast("int").alias("at"),
+            (state["at"] + F.when(is_place, 1).otherwise(0)).cast("int").alias("at"),
         )
 
     start = F.struct(F.lit("").alias("out"), F.lit(1).cast("int").alias("at"))
@@ -175,7 +218,7 @@ def _cards(groups: Column) -> Column:
     last = F.size(groups) - 1
 
     def part(i: Column, j: Column) -> Column:
-        text = F.regexp_replace(F.array_join(F.slice(groups, i + 1, j - i + 1), ""), "[ -]$", "")
+        text = F.regexp_replace(F.array_join(F.slice(groups, i + 1, j - i + 1), ""), f"{GAP}$", "")
         return _once(text, lambda text: formed(text, i, j))
 
     def formed(text: Column, i: Column, j: Column) -> Column:
@@ -233,7 +276,7 @@ def cards_replaced(run: Column, key: str) -> Column:
     def with_new(groups: Column, made: Column) -> Column:
         def piece(group: Column, i: Column) -> Column:
             own = F.filter(made, lambda x: i.between(x["first"], x["last"]))
-            end = F.regexp_extract(group, r"\d+([ -]?)$", 1)
+            end = F.regexp_extract(group, rf"\d+({GAP}?)$", 1)
             new = F.when(i == own[0]["first"], own[0]["new"]).otherwise("")
             ended = F.when(i == own[0]["last"], end).otherwise("")
             return F.when(F.size(own) == 0, group).otherwise(F.concat(new, ended))
@@ -243,7 +286,7 @@ def cards_replaced(run: Column, key: str) -> Column:
             F.size(F.filter(made, lambda x: x["old"] != x["new"])).alias("n"),
         )
 
-    return _once(F.regexp_extract_all(run, F.lit(r"\d+[ -]?"), 0), replaced)
+    return _once(F.regexp_extract_all(run, F.lit(rf"\d+{GAP}?"), 0), replaced)
 
 
 def card_pseudonym(value: Column, key: str) -> Column:
@@ -342,8 +385,49 @@ def email_pseudonym(value: Column, key: str) -> Column:
     return F.concat(permuted_text(name, key, "email"), domain)
 
 
+def _iban_rest(text: Column) -> Column:
+    """The number of an account, its country and check digits moved to its end, modulo 97."""
+    compact = F.regexp_replace(text, r"[^A-Z0-9]", "")
+    turned = F.concat(F.substr(compact, F.lit(5), F.lit(34)), F.substr(compact, F.lit(1), F.lit(4)))
+
+    def add(rest: Column, c: Column) -> Column:
+        letter = c.between("A", "Z")
+        worth = F.when(letter, F.ascii(c) - 55).otherwise(F.ascii(c) - 48)
+        return ((rest * F.when(letter, 100).otherwise(10) + worth) % 97).cast("int")
+
+    return F.aggregate(_characters(turned), F.lit(0), add)
+
+
+def _iban_of(value: Column) -> Column:
+    """The longest of the first groups of ``value`` that is an account number with right check digits, or
+    null: what follows it may look like one more group."""
+    groups = F.split(value, "[ \u00a0]")
+
+    def first(k: Column) -> Column:
+        shorter = F.aggregate(F.slice(groups, 1, k), F.lit(-1), lambda n, g: n + F.char_length(g) + 1)
+        return F.substr(value, F.lit(1), shorter)
+
+    ends = F.transform(F.sequence(F.size(groups), F.lit(1), F.lit(-1)), first)
+    long = F.filter(ends, lambda x: F.char_length(F.regexp_replace(x, "[^A-Z0-9]", "")).between(15, 34))
+    return F.get(F.filter(long, lambda x: _iban_rest(x) == 1), F.lit(0))
+
+
+def iban_pseudonym(value: Column, key: str) -> Column:
+    """The country stays, the account is permuted within its form, the check digits are made anew."""
+
+    def made(own: Column) -> Column:
+        compact = F.regexp_replace(own, r"[^A-Z0-9]", "")
+        country = F.substr(compact, F.lit(1), F.lit(2))
+        account = permuted_text(F.substr(compact, F.lit(5), F.lit(34)), key, "iban")
+        check = _padded(F.lit(98) - _iban_rest(F.concat(country, F.lit("00"), account)), 2)
+        new = _refilled(own, F.concat(country, check, account), "[A-Z0-9]")
+        return F.concat(new, F.substr(value, F.char_length(own) + 1, F.lit(40)))
+
+    return _once(_iban_of(value), made)
+
+
 def kind_of(value: Column) -> Column:
-    """`email`, `address`, `date`, `social`, `phone`, `card`, or null for what is not valid.
+    """`email`, `iban`, `address`, `date`, `social`, `phone`, `card`, or null for what is not valid.
 
     A `card` is a run of digits long enough for one; ``cards_replaced`` finds those with a right
     check digit.
@@ -356,6 +440,7 @@ def kind_of(value: Column) -> Column:
     issued = issued & (parts[1] != "00") & (parts[2] != "0000")
     return (
         F.when(value.contains("@"), "email")
+        .when(value.rlike("^[A-Z]"), F.when(_iban_of(value).isNotNull(), "iban"))
         .when(value.rlike(f"^(?:{ADDRESS})$"), F.when(octets, "address"))
         .when(value.rlike(f"^(?:{DATE})$"), F.when(days.between(0, HALF_DAYS - 1), "date"))
         .when(value.rlike(f"^(?:{SOCIAL})$"), F.when(issued, "social"))
@@ -370,6 +455,7 @@ def pseudonym(value: Column, key: str) -> Column:
     kind = kind_of(value)
     made = {
         "email": email_pseudonym,
+        "iban": iban_pseudonym,
         "address": address_pseudonym,
         "date": date_pseudonym,
         "social": social_pseudonym,
@@ -388,9 +474,10 @@ def pseudonym(value: Column, key: str) -> Column:
 def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with personal values in ``text`` replaced, and ``n_replaced``; no shuffle.
 
-    Emails, IPv4 addresses, dates (year-month-day with dashes, day first with dots or slashes), US
-    social security and phone numbers, and card numbers with a right check digit. What only looks
-    like one stays. Null texts stay null with 0 replaced; texts without values are not touched. An
+    Emails (the name, of letters of any script), account numbers (IBAN) with right check digits, IPv4
+    addresses, dates (year-month-day with dashes, day first with dots or slashes), US social security
+    and phone numbers, and card numbers with a right check digit, also with spaces that do not break.
+    What only looks like one stays. Null texts stay null with 0 replaced; texts without values are not touched. An
     input column n_replaced is replaced.
     """
     docs = docs.drop("n_replaced")
