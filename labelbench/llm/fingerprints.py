@@ -24,6 +24,7 @@ EXACT = 8
 WIDE = 256
 GRAM = 8
 CHUNK = 1 << 20  # bytes of a paragraph that are hashed at once
+MOST_PARTS = 32_768
 
 
 def _wide(data: bytes) -> np.ndarray:
@@ -95,12 +96,12 @@ def edited_bytes(text: str, following: str) -> tuple[bytes, int]:
 def _with_parts(docs: DataFrame, rows_per_part: int) -> tuple[DataFrame, int]:
     """Texts in parts of descending doc_id, with the first row of the next part at each one's end.
 
-    Bounds are quantiles of doc_id. They and the first doc_id of each part, one number per part,
-    are sent to the tasks.
+    Bounds are quantiles of doc_id. They and the first doc_id of each part, one number per part of at
+    most ``MOST_PARTS``, are sent to the tasks; beyond that parts grow, and Spark sorts them on disk.
     """
     rows = docs.select("doc_id", "text")
     sent = docs.sparkSession.sparkContext.broadcast
-    parts = max(1, rows.count() // rows_per_part)
+    parts = max(1, min(MOST_PARTS, rows.count() // rows_per_part))
     found: list = []
     if parts > 1:
         shares = [i / parts for i in range(1, parts)]
