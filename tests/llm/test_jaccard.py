@@ -41,10 +41,12 @@ def _brute(rows):
     )
 
 
-@pytest.mark.parametrize("most_sets", [4096, 3])
-def test_groups_equal_brute_force(odd, monkeypatch, most_sets):
-    """With three sets per tree the buckets fall into blocks that meet pairwise."""
+@pytest.mark.parametrize(("most_sets", "most_others"), [(4096, 512), (3, 512), (4096, 0)])
+def test_groups_equal_brute_force(odd, monkeypatch, most_sets, most_others):
+    """With three sets per tree the buckets fall into blocks that meet pairwise; without room for sets
+    beside the largest component no cluster is one tree."""
     monkeypatch.setattr(jaccard, "MOST_SETS", most_sets)
+    monkeypatch.setattr(jaccard, "MOST_OTHERS", most_others)
     sent = 64 << 20 if most_sets > 3 else 0
     rows = jaccard.near_duplicates(odd, sent_bytes=sent).collect()
     assert sorted((str(r[0]), r[1], str(r[2])) for r in rows) == _brute(odd_rows())
