@@ -155,7 +155,7 @@ def svm_subgradient_items(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("f_quantity") - 0.5).alias("f_quantity"),
     )
     train, test = splits.hash_split(rows, "key")
-    model = subgradient.svm(train, SEPARABLE_FEATURES, "key", batches=2, tolerance=0.0)
+    model = subgradient.svm(train, SEPARABLE_FEATURES, "key", iterations=60, batches=2)
     scored = metrics.pairs(subgradient.classified(test, model, SEPARABLE_FEATURES))
     return _rounded_report(metrics.model_report(scored, "linear_svm, subgradients"))
 
@@ -164,7 +164,7 @@ TUBE = 0.1
 
 
 def svr_items(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items on an exact line: all predictions are in the tube around it, or as near again."""
+    """Line items on an exact line: all predictions are in the tube around it."""
     rows = table(spark, folder, "lineitem").select(
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("key"),
         (F.col("l_discount") * 20 - 1).alias("x"),
@@ -173,10 +173,10 @@ def svr_items(spark: SparkSession, folder: str) -> DataFrame:
     rows = rows.withColumn("label", 0.5 + 2 * F.col("x") - F.col("z"))
     train, test = splits.hash_split(cut(rows), "key")
     model = subgradient.support_vector_regression(
-        train, ["x", "z"], "key", width=TUBE, penalty=0.0, iterations=120, tolerance=0.0
+        train, ["x", "z"], "key", width=TUBE, penalty=0.0
     )
     scored = metrics.pairs(subgradient.regressed(test, model, ["x", "z"]))
-    return metrics.within_tolerance(scored, 2 * TUBE, by=()).select("n", "n_within")
+    return metrics.within_tolerance(scored, TUBE, by=()).select("n", "n_within")
 
 
 # --- looking at features -----------------------------------------------------------------------

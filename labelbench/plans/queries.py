@@ -14,7 +14,7 @@ from labelbench.functions.labels import good_label, good_label_udf
 from labelbench.operators import bayes, metrics, pipelines, profile, splits, tuning
 from labelbench.operators.classifiers import DEEP_TREES, estimator
 from labelbench.operators.features import assemble, explode_vector, frequency_indexer
-from labelbench.operators.gini import binned_gini_splits, gini_splits
+from labelbench.operators.gini import binned_gini_splits, gini_splits, pruned_gini_splits
 from labelbench.shared import balanced, cut, scratch_path
 from labelbench.sources.delimited import (
     BAD_LINE,
@@ -361,7 +361,7 @@ def gini_split_binned(spark: SparkSession, folder: str) -> DataFrame:
 
 def gini_split_items(spark: SparkSession, folder: str) -> DataFrame:
     items = _items(spark, folder).select("label", *ITEM_FEATURES)
-    return _rounded(gini_splits(items, ITEM_FEATURES), ["threshold", "gain"])
+    return _rounded(pruned_gini_splits(items, ITEM_FEATURES), ["threshold", "gain"])
 
 
 # --- metrics -----------------------------------------------------------------------------------

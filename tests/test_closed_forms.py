@@ -12,7 +12,7 @@ from labelbench.operators.bayes import (
     predict_naive_bayes,
 )
 from labelbench.operators.features import assemble
-from labelbench.operators.gini import binned_gini_splits, gini_splits
+from labelbench.operators.gini import binned_gini_splits, gini_splits, pruned_gini_splits
 from labelbench.operators.profile import fit_line
 from labelbench.operators.splits import with_folds
 
@@ -149,6 +149,23 @@ def test_gini_splits_equal_brute_force(spark, partitions):
         assert found[name] == pytest.approx(_brute_split([(r[i + 1], r[0]) for r in rows]))
 
 
+@pytest.mark.parametrize(("bins", "partitions"), [(4, None), (16, 3), (64, 1)])
+def test_pruned_splits_equal_all_splits(spark, bins, partitions):
+    """With ties, a value shared by a third of the rows, nulls, a constant and an empty column."""
+    rng = random.Random(10 + bins)
+    rows = []
+    for i in range(2000):
+        y = float(rng.random() < 0.3)
+        third = 5.0 if i % 3 == 0 else rng.randrange(100) + 3.0 * y
+        rows.append((y if i % 50 else None, third, rng.gauss(y, 1.0), rng.random(), 1.0, None if i % 7 else 2.0 * y))
+    schema = "label double, third double, near double, noise double, same double, few double"
+    df = spark.createDataFrame(rows, schema).repartition(5).withColumn("none", F.lit(None).cast("double"))
+    names = ["third", "near", "noise", "same", "few", "none"]
+    wanted = sorted(map(tuple, gini_splits(df, names).collect()))
+    assert sorted(map(tuple, pruned_gini_splits(df, names, bins=bins, partitions=partitions).collect())) == wanted
+    assert pruned_gini_splits(df.limit(0), names).count() == 0
+
+
 def test_binned_splits_are_exact_for_few_values_and_near_for_many(spark):
     df = _counts(spark).withColumn("many", F.col("a") * 100 + F.col("id") % 97 + F.col("label") * 50)
     exact = {r["feature"]: r for r in gini_splits(df, [*NAMES, "many"]).collect()}
