@@ -12,7 +12,6 @@ from labelbench.plans.oracles import (
     _URGENT,
     NB_MODEL,
     SAMPLES,
-    _digest,
     _is_train,
     _report,
 )
