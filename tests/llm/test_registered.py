@@ -1,15 +1,18 @@
 """The registered forms of operators that SQL cannot express, against second versions, on small tables."""
 
+import os
 import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from labelbench.llm import fingerprints, queries
+from labelbench.llm import bpe, fingerprints, queries
 from odd_docs import odd_rows, split_words
 from test_jaccard import _roots, _shingles
 
@@ -160,17 +163,13 @@ def test_encoding(spark, rows, folder):
 
 def test_a_second_task_finds_the_encoder(spark, rows, folder):
     """One worker process parses the vocabulary once for all its tasks."""
-    from labelbench.llm import bpe
-
-    sent = spark.sparkContext.broadcast({"spec": open(public_tokenizers.path("byte_bpe_50k.json")).read()})
+    sent = spark.sparkContext.broadcast({"spec": Path(public_tokenizers.path("byte_bpe_50k.json")).read_text("utf-8")})
 
     def run(batches):
-        import os
-
         for batch in batches:
             known = "encoder" in sent.value
             bpe.held_encoder(sent.value)
-            yield batch.slice(0, 1).select(["id"]).set_column(0, "id", [[os.getpid() * 2 + known]])
+            yield pa.RecordBatch.from_arrays([pa.array([os.getpid() * 2 + known], pa.int64())], names=["id"])
 
     found = [r["id"] for r in spark.range(0, 64, 1, 64).mapInArrow(run, "id long").collect()]
     made = Counter(i // 2 for i in found if i % 2 == 0)
