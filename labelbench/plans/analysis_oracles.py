@@ -151,7 +151,7 @@ WITH {_BANDS}
 SELECT model, best, separates, CASE WHEN best THEN CAST(0 AS BIGINT) END AS n_wrong FROM found""",
     "depth_holdout_search_orders": f"WITH {_BANDS} SELECT model, best, separates FROM found",
     "svm_subgradient_items": f"WITH {_SEPARABLE_TEST}, {_report('scored', model='linear_svm, subgradients')}",
-    "svr_items": f"SELECT count(*) AS n, count(*) AS n_within FROM lineitem WHERE NOT ({_is_train(_ITEM_KEY)})",
+    "svr_items": f"SELECT count(*) AS n, count(*) AS n_within, true AS in_tube FROM lineitem WHERE NOT ({_is_train(_ITEM_KEY)})",
     "fence_outliers": f"""
 WITH {SAMPLES}, {_fences('samples', 'label', TEXT_FEATURES)}
 SELECT doc_id, label, feature, value, low, high
