@@ -1,8 +1,9 @@
+import threading
 import weakref
 
 import pytest
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.tuning import CrossValidator
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.tuning import CrossValidator, TrainValidationSplit
 from pyspark.sql import functions as F
 
 from labelbench.operators import pipelines, splits, tuning
@@ -229,6 +230,55 @@ def test_holdout_search_picks_the_best(data):
     assert found.metrics[found.best] == max(found.metrics)
 
 
+class Watched(LogisticRegression):
+    """Notes a property of its thread, and looks for it when the other fits have noted theirs."""
+
+    together = None  # a barrier of the first two fits; the refit is alone
+    kept = []
+
+    def _fit(self, dataset):
+        context = dataset.sparkSession.sparkContext
+        if len(self.kept) < 2:
+            own = str(self.getRegParam())
+            context.setLocalProperty("test.own", own)
+            Watched.together.wait(60)
+            found = context.getLocalProperty("test.own") == own
+            Watched.together.wait(60)
+            self.kept.append(found)
+        return super()._fit(dataset)
+
+
+@pytest.mark.parametrize("search", ["sweep", "holdout_search"])
+def test_fits_side_by_side_keep_their_own_properties(data, search):
+    train, test = data
+    lr = Watched(labelCol="label", featuresCol="features", maxIter=2)
+    grid = [{lr.regParam: 0.0}, {lr.regParam: 0.5}]
+    Watched.kept.clear()
+    Watched.together = threading.Barrier(2)
+    if search == "sweep":
+        tuning.sweep(lr, grid, train, test, parallelism=2)
+    else:
+        tuning.holdout_search(lr, grid, train, seed=1, parallelism=2)
+    assert Watched.kept == [True, True]
+
+
+def test_holdout_search_equals_the_library(data):
+    train, _ = data
+    lr = estimator("logistic_regression", maxIter=20)
+    grid = [{lr.regParam: 0.0}, {lr.regParam: 0.3}, {lr.regParam: 50.0}]
+    ours = tuning.holdout_search(lr, grid, train, seed=1, parallelism=2)
+    library = TrainValidationSplit(
+        estimator=lr,
+        estimatorParamMaps=grid,
+        evaluator=tuning.ranked_evaluator(),
+        seed=1,
+    ).fit(train)
+    assert ours.metrics == pytest.approx(library.validationMetrics, abs=1e-9)
+    assert list(ours.model.coefficients) == pytest.approx(
+        list(library.bestModel.coefficients), rel=1e-6
+    )
+
+
 def test_regressor(data):
     train, test = data
     model = estimator("forest_regression", seed=11, numTrees=10).fit(train)
