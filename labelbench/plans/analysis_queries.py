@@ -29,6 +29,7 @@ from labelbench.plans.queries import (
     SEPARABLE_FEATURES,
     URGENCY_FEATURES,
     Query,
+    _laid_out,
     _rounded,
     _rounded_report,
     _separable_items,
@@ -55,7 +56,7 @@ def nb_sensitivity(spark: SparkSession, folder: str) -> DataFrame:
 def forest_sensitivity(spark: SparkSession, folder: str) -> DataFrame:
     """The same of a forest's share for class 1."""
     train, _ = splits.hash_split(_stored_samples(spark, folder), "doc_id")
-    train = cut(splits.stable_layout(train, "doc_id", 1))
+    train = _laid_out(train, "doc_id")
     model = pipelines.fit(estimator("random_forest", seed=SEED), assemble(train, TEXT_FEATURES))
     scored = tree_columns.with_prediction(sensitivity.probe_rows(train, TEXT_FEATURES), model, TEXT_FEATURES)
     share = F.get("prediction_sum", F.lit(1)) / model.getNumTrees
@@ -95,7 +96,7 @@ def _staged_orders(name: str) -> Query:
 
 
 def staged_forest(spark: SparkSession, folder: str) -> DataFrame:
-    rows = cut(splits.stable_layout(_stored_samples(spark, folder), "doc_id", 1))
+    rows = _laid_out(_stored_samples(spark, folder), "doc_id")
     train, test = splits.hash_split(rows, "doc_id")
     model = pipelines.fit(estimator("random_forest", seed=SEED), assemble(train, TEXT_FEATURES))
     staged = tree_columns.with_stages(test, model, TEXT_FEATURES)
@@ -116,7 +117,7 @@ def _banded_orders(spark: SparkSession, folder: str) -> DataFrame:
         priority.cast("double").alias("f_priority"),
     )
     rows = assemble(orders, ["f_priority"]).select("key", "label", "features")
-    return cut(splits.stable_layout(cut(rows), "key", 2))
+    return _laid_out(cut(rows), "key", least=2, few_trees=True)
 
 
 def _best_depth(search: tuning.Search, like: DataFrame) -> DataFrame:
@@ -147,7 +148,7 @@ def depth_holdout_search_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def svm_subgradient_items(spark: SparkSession, folder: str) -> DataFrame:
     """Line items told apart by their discount, on scales of a few units around 0."""
-    rows = _separable_items(spark, folder).select(
+    rows = _separable_items(spark, folder, seeded=False).select(
         "key",
         "label",
         (F.col("f_discount") * 20).alias("f_discount"),

@@ -1,9 +1,13 @@
 """Every registered query: equal to its SQL, or at least whole and well-formed."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from compare import connect, differences
+from labelbench.plans import analysis_queries
+from labelbench.plans import queries as queries_module
+from labelbench.shared import cut
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
@@ -44,3 +48,33 @@ def test_random_split_counts_cover_the_table(spark, db):
 def test_entry_gives_one_report(spark):
     rows = driver.entry(spark).collect()
     assert len(rows) == 1 and rows[0]["n"] == 19
+
+
+@pytest.mark.parametrize("few_trees", [False, True])
+def test_a_layout_comes_back_in_all_its_parts(spark, monkeypatch, few_trees):
+    """Stored, its small files were read packed together, more of them the more there were."""
+    monkeypatch.setattr(queries_module, "ROWS_PER_TASK", 10)
+    rows = spark.range(600).select((F.col("id") % 300).alias("key"), F.col("id").alias("value"))
+    laid_out = queries_module._laid_out(cut(rows), "key", few_trees=few_trees)
+    train = laid_out.where("key >= 0")
+    parts = train.groupBy(F.spark_partition_id().alias("part")).count().collect()
+    assert train.rdd.getNumPartitions() == 61
+    assert max(r["count"] for r in parts) < 60
+
+
+def test_parts_do_not_grow_with_the_rows():
+    for rows in (0, 99_999, 600_000, 36_000_000, 216_000_000):
+        assert rows / queries_module._parts(rows) <= queries_module.ROWS_PER_TASK
+        few = queries_module._parts(rows, few_trees=True)
+        assert rows / few <= queries_module.ROWS_PER_LARGE_TASK
+        assert few <= queries_module._parts(rows)
+    assert queries_module._parts(5, least=2) == 2
+
+
+def test_banded_orders_take_more_parts_when_there_are_more(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(queries_module, "ROWS_PER_TASK", 10)
+    orders = spark.range(200).select(
+        F.col("id").alias("o_orderkey"), F.concat(F.col("id") % 5 + 1, F.lit("-X")).alias("o_orderpriority")
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    assert analysis_queries._banded_orders(spark, str(tmp_path)).rdd.getNumPartitions() == 21

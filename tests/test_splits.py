@@ -59,3 +59,10 @@ def test_stable_layout_ignores_the_input_layout(spark):
     b = stable_layout(spark.range(500).repartition(9), "id", 4)
     place = [F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"), "id"]
     assert sorted(a.select(*place).collect()) == sorted(b.select(*place).collect())
+
+
+def test_stable_layout_places_rows_that_share_a_key(spark):
+    rows = spark.range(400).select((F.col("id") % 7).alias("key"), F.col("id").alias("value"))
+    place = [F.monotonically_increasing_id().alias("at"), "key", "value"]
+    a, b = (stable_layout(rows.repartition(n, "value"), "key", 3) for n in (1, 9))
+    assert sorted(a.select(*place).collect()) == sorted(b.select(*place).collect())
