@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,3 +30,14 @@ def runs(batch: pa.RecordBatch, limit: int, name: str = "text") -> Iterator[pa.R
         held += size
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+def give_back() -> None:
+    """Return what this worker process has freed to the system.
+
+    A worker lives on from task to task, and keeps the most it ever held unless told to return it.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # there with glibc only
+    if trim is not None:
+        trim(0)

@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from labelbench.llm.batches import column, runs
+from labelbench.llm.batches import column, give_back, runs
 
 # How texts fall into words, fixed by the vocabulary's format.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -260,6 +260,7 @@ def encode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
                     ],
                     schema=schema,
                 )
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(
         run, "doc_id long, n_tokens long, ids binary, decoded string"

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelbench.llm import bloom
-from labelbench.llm.batches import column, runs, text_bytes
+from labelbench.llm.batches import column, give_back, runs, text_bytes
 from labelbench.llm.shingles import shingle_sets
 from labelbench.llm.trie import linked
 from labelbench.shared import cut
@@ -40,7 +40,7 @@ SHARED_PART = 10  # similar sets share a tenth of their size among their first s
 MOST_SETS = 4096  # in one prefix tree
 MOST_OTHERS = 512  # of these outside the largest component, in the tree of a whole cluster
 SENT_ROWS = 200_000  # decisions on documents that may be sent to the tasks
-SHINGLES_PER_SLICE = 2_000_000  # of distinct sets; a slice gets about a third of them
+SHINGLES_PER_SLICE = 1_000_000  # of distinct sets; a slice gets about a third of them
 IDS_PER_ROW = 1 << 16
 TASK_BYTES = 8 << 20  # of sets that one call of the tree function gets
 
@@ -50,6 +50,7 @@ def _runs(batches: Iterator[pa.RecordBatch], width: int):
     for batch in batches:
         for part in runs(batch, RUN_BYTES):
             yield part, *shingle_sets(text_bytes(part).to_pylist(), width)
+    give_back()
 
 
 def _sets(owner: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -177,7 +178,10 @@ def _filter_of_slice(pdf: pd.DataFrame) -> pd.DataFrame:
     """One row: a filter of the shingles of the slice that several sets hold."""
     postings = _joined_postings(pdf["postings"], 2)
     held = postings[_shared(postings)[0], 0]
-    return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "packed": [bloom.packed(held)]})
+    del postings
+    packed = bloom.packed(held)
+    give_back()
+    return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "packed": [packed]})
 
 
 def _times_of_slice(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -209,6 +213,8 @@ def _buckets_of_slice(pdf: pd.DataFrame) -> pd.DataFrame:
             names.append(name)
             parts.append(part)
             ids.append(members[at : at + IDS_PER_ROW].view(np.int64))
+    del postings
+    give_back()
     return pd.DataFrame({"bucket": names, "part": parts, "ids": pd.Series(ids, dtype=object)})
 
 

@@ -1,4 +1,7 @@
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -134,3 +137,28 @@ def test_sets_of_shingles():
     sizes = [int((owner == i).sum()) for i in range(len(texts))]
     assert sizes == [len(_shingles(t.decode())) for t in texts]
     assert len(set(hashes.tolist())) == len(set().union(*map(_shingles, (t.decode() for t in texts))))
+
+
+RETURNS = """
+import pyarrow as pa
+from labelbench.llm.jaccard import _runs
+
+def held():
+    with open("/proc/self/statm") as file:
+        return int(file.read().split()[1]) * 4096 >> 20
+
+batch = pa.RecordBatch.from_pydict({"text": ["some few words in a text"]})
+list(_runs(iter([batch]), 5))
+blocks = [b"x" * 100_000 for _ in range(2000)]
+last = b"y" * 100_000
+full = held()
+del blocks
+list(_runs(iter([batch]), 5))
+print(full - held())
+"""
+
+
+def test_a_worker_returns_what_it_has_freed():
+    root = str(Path(__file__).resolve().parents[2])
+    said = subprocess.run([sys.executable, "-c", RETURNS], cwd=root, capture_output=True, text=True, check=True)
+    assert int(said.stdout) > 150
