@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelbench.llm.batches import column, runs, text_bytes
+from labelbench.llm.batches import column, give_back, runs, text_bytes
 
 LANES = 4096
 RUN_BYTES = 1 << 20
@@ -161,8 +161,10 @@ def training_rows(docs: DataFrame, per_language: int, most_rows: int = MOST_ROWS
     best = Window.partitionBy("lang").orderBy("drawn", "doc_id", "features")
 
     @F.pandas_udf("binary")
-    def lanes(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: ngram_lanes(text.encode()).tobytes())
+    def lanes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield texts.map(lambda text: ngram_lanes(text.encode()).tobytes())
+        give_back()
 
     return (
         named.withColumn("drawn", drawn)
@@ -227,6 +229,7 @@ def in_a_language(docs: DataFrame, codes: Codes | None, least_lead: float = 0.1)
                     long = np.array([len(t) >= LEAST_BYTES for t in texts])
                     stays[stays] = (lead >= least_lead) & ~(long & (distance > bound))
                 yield part.filter(pa.array(stays, pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -272,5 +275,6 @@ def identified(docs: DataFrame, codes: Codes | None, least_lead: float = 0.1) ->
                     [*part.columns, *added],
                     names=[*part.schema.names, "lang_pred", "score", "ambiguous"],
                 )
+        give_back()
 
     return docs.mapInArrow(run, schema)

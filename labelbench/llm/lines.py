@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelbench.llm.batches import column, text_bytes
+from labelbench.llm.batches import column, give_back, text_bytes
 from labelbench.llm.bloom import SENT_BYTES, bits_for, by_slice, joined, maybe_in, packed, positions, slice_count
 from labelbench.shared import cut
 
@@ -82,6 +82,7 @@ def repeat_filters(docs: DataFrame, min_chars: int = 1) -> tuple[DataFrame, int]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names), pa.array(blobs, pa.binary())], schema=schema
             )
+        give_back()
 
     hashes = docs.select("text").mapInArrow(emit, "slice long, hashes binary")
     return (
@@ -136,6 +137,7 @@ def repeated_lines(
                 ],
                 schema=schema,
             )
+        give_back()
 
     place = F.struct("doc_id", "line")
     return (
@@ -210,6 +212,7 @@ def _rewritten(docs: DataFrame, confirmed: DataFrame, keep_first: bool) -> DataF
             arrays += [pa.array(total, pa.int64()), pa.array(dropped, pa.int64())]
             names = [*batch.schema.names, "n_lines", "n_dropped"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
+        give_back()
 
     return docs.mapInArrow(rewrite, schema)
 
