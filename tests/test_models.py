@@ -202,6 +202,19 @@ def test_no_more_models_are_kept_than_are_fitted_at_once(spark, parallelism):
     assert max(most) <= parallelism
 
 
+def test_long_fits_begin_first(spark):
+    grid = tuning.forest_grid(estimator("random_forest"))
+    begun = []
+
+    def fit(point):
+        begun.append(tuning.point_name(point))
+        return point
+
+    found = tuning.each_point(fit, tuning.point_name, grid, 1, spark, tuning.work)
+    assert found == [tuning.point_name(point) for point in grid]
+    assert begun[0] == "numTrees=300, maxDepth=20" and begun[-1] == "numTrees=10, maxDepth=5"
+
+
 def test_two_layouts_give_equal_reports(spark, data):
     samples = assemble(text_samples(spark, FOLDER), TEXT_FEATURES).select("doc_id", "label", "features")
     reports = []

@@ -71,6 +71,14 @@ def test_parts_do_not_grow_with_the_rows():
     assert queries_module._parts(5, least=2) == 2
 
 
+def test_deep_forests_are_spread_over_cores():
+    assert queries_module._parts(4_000) == 1
+    assert queries_module._parts(100_000) >= 4
+    assert queries_module._parts(205_000) >= 8
+    assert queries_module._parts(1_200_000) == 16  # beyond that, parts grow to 100,000 rows first
+    assert queries_module._parts(54_000_000) == 541
+
+
 def test_banded_orders_take_more_parts_when_there_are_more(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(queries_module, "ROWS_PER_TASK", 10)
     orders = spark.range(200).select(
