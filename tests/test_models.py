@@ -215,6 +215,68 @@ def test_long_fits_begin_first(spark):
     assert begun[0] == "numTrees=300, maxDepth=20" and begun[-1] == "numTrees=10, maxDepth=5"
 
 
+class Noted(RandomForestClassifier):
+    """Notes the points that are fitted."""
+
+    fitted = []
+
+    def _fit(self, dataset):
+        self.fitted.append((self.getNumTrees(), self.getMaxDepth()))
+        return super()._fit(dataset)
+
+
+def _two_features(spark, label):
+    """400 rows: ``a`` is 0 in a quarter of them, ``b`` runs from 0 to 9."""
+    rows = spark.range(400).selectExpr("id", "int(id % 4 > 0) AS a", "int(id / 4) % 10 AS b")
+    rows = rows.withColumn("label", F.expr(label).cast("double"))
+    return cut(splits.stable_layout(splits.with_folds(assemble(rows, ["a", "b"]), "id"), "id", 2))
+
+
+def _nodes(model):
+    return model.toDebugString.split("\n", 1)[1]
+
+
+def test_depths_that_change_nothing_are_fitted_once(spark):
+    rows = _two_features(spark, "b >= 4")
+    forest = Noted(labelCol="label", featuresCol="features", seed=11)
+    grid = tuning.forest_grid(forest, (2, 3), (6, 1, 4))
+    Noted.fitted.clear()
+    found = tuning.cross_validate(forest, grid, rows, parallelism=2)
+    # Two forests a fold, and the best point again.
+    assert sorted(Noted.fitted) == sorted([(2, 1), (3, 1)] * 3 + [(2, 6)])
+    library = CrossValidator(
+        estimator=forest,
+        estimatorParamMaps=grid,
+        evaluator=tuning.ranked_evaluator(),
+        numFolds=3,
+        foldCol="fold",
+    ).fit(rows)
+    assert found.metrics == library.avgMetrics
+    models = tuning.each_fit(forest, rows, _nodes, grid, 2)
+    assert models == [_nodes(forest.fit(rows, point)) for point in grid]
+
+
+@pytest.mark.parametrize("label", ["a = 0 AND b < 4", "id % 7 < 3"])
+def test_depths_that_may_change_a_forest_are_all_fitted(spark, label):
+    """In the first case the shallow trees are one leaf: their only split has equal predictions."""
+    rows = _two_features(spark, label)
+    forest = Noted(labelCol="label", featuresCol="features", seed=11)
+    grid = tuning.forest_grid(forest, (3,), (1, 2, 5))
+    alone = [forest.fit(rows, point) for point in grid]
+    if "AND" in label:
+        assert [[tree.depth for tree in model.trees] for model in alone[:2]] == [[0] * 3, [2] * 3]
+    Noted.fitted.clear()
+    assert tuning.each_fit(forest, rows, _nodes, grid, 2) == [_nodes(model) for model in alone]
+    assert sorted(Noted.fitted) == [(3, 1), (3, 2), (3, 5)]
+
+
+def test_a_depth_too_large_is_still_an_error(spark):
+    rows = _two_features(spark, "b >= 4")
+    forest = estimator("random_forest", seed=11)
+    with pytest.raises(Exception, match="maxDepth"):
+        tuning.each_fit(forest, rows, _nodes, tuning.forest_grid(forest, (2,), (1, 31)), 1)
+
+
 def test_two_layouts_give_equal_reports(spark, data):
     samples = assemble(text_samples(spark, FOLDER), TEXT_FEATURES).select("doc_id", "label", "features")
     reports = []
