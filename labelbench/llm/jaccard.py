@@ -418,12 +418,18 @@ def _blocks(size: str, name: str):
     )
 
 
+def _pairs(n: str, most: str):
+    """How many pairs to compare among ``n`` sets, of which the largest component has ``most``."""
+    return F.col(n).cast("double") * (F.col(n) - F.col(most))
+
+
 def _across(labelled: DataFrame, first: DataFrame) -> DataFrame:
     """``bucket``, ``block``, ``digest``, ``label``: what is compared across components.
 
     Components that meet in buckets form clusters. A cluster of bounded size is one bucket, so each
-    of its sets is sent once however many buckets it is in. The buckets of larger clusters stay, but
-    those of the same components are one.
+    of its sets is sent once however many buckets it is in. A larger one is one bucket too, in blocks,
+    where that compares no more pairs than its buckets together; else these stay, but those of the
+    same components are one.
     """
     group = F.concat(F.bit_xor(F.xxhash64("label")), F.lit("/"), F.bit_xor(F.xxhash64(F.lit(1), "label")))
     pairs = cut(labelled.select("bucket", "label").distinct())
@@ -440,29 +446,38 @@ def _across(labelled: DataFrame, first: DataFrame) -> DataFrame:
         first.join(roots, F.col("label") == F.col("node")).select("digest", "label", "root")
     )
     sizes = members.groupBy("root", "label").agg(F.count(F.lit(1)).alias("n"))
-    small = (
-        sizes.groupBy("root")
-        .agg(F.sum("n").alias("n"), F.max("n").alias("most"))
-        .where((F.col("n") <= MOST_SETS) & (F.col("n") - F.col("most") <= MOST_OTHERS))
-        .select("root")
-    )
-    members = cut(members.join(small.withColumn("small", F.lit(True)), "root", "left"))
-    whole = members.where("small").select(
-        F.hex("root").alias("bucket"),
-        F.lit(0).cast("long").alias("block"),
-        "digest",
-        "label",
+    clusters = cut(
+        sizes.groupBy("root").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
     )
-    large = members.where("small IS NULL").select("digest")
+    small = (F.col("n") <= MOST_SETS) & (F.col("n") - F.col("most") <= MOST_OTHERS)
+    large = members.join(clusters.where(~small).select("root"), "root").select("root", "digest")
     grouped = cut(
         labelled.join(mixed.select("bucket", "group"), "bucket")
         .join(large, "digest")
-        .select("group", "digest", "label")
+        .select("root", "group", "digest", "label")
         .distinct()
     )
-    group_sizes = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("size"))
+    group_sizes = cut(
+        grouped.groupBy("root", "group", "label")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("root", "group")
+        .agg(F.sum("n").alias("size"), F.max("n").alias("most"))
+    )
+    together = (
+        group_sizes.groupBy("root")
+        .agg(F.sum(_pairs("size", "most")).alias("pairs"))
+        .join(clusters, "root")
+        .where(_pairs("n", "most") <= F.col("pairs"))
+        .select("root")
+    )
+    ones = cut(clusters.where(small).select("root", "n").union(clusters.join(together, "root").select("root", "n")))
+    whole = (
+        members.join(ones, "root")
+        .withColumn("block", F.explode(_blocks("n", "digest")))
+        .select(F.hex("root").alias("bucket"), "block", "digest", "label")
+    )
     apart = (
-        grouped.join(group_sizes, "group")
+        grouped.join(group_sizes.join(ones, "root", "left_anti").drop("most"), ["root", "group"])
         .withColumn("block", F.explode(_blocks("size", "digest")))
         .select(F.col("group").alias("bucket"), "block", "digest", "label")
     )

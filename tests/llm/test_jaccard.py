@@ -6,7 +6,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 
-from labelbench.llm import bloom, jaccard
+from labelbench.llm import bloom, jaccard, trie
 from labelbench.llm.shingles import shingle_sets
 from odd_docs import odd_rows, words
 
@@ -162,3 +162,49 @@ def test_a_worker_returns_what_it_has_freed():
     root = str(Path(__file__).resolve().parents[2])
     said = subprocess.run([sys.executable, "-c", RETURNS], cwd=root, capture_output=True, text=True, check=True)
     assert int(said.stdout) > 150
+
+
+def _near_sets(n, tokens=60):
+    """Sets that differ in a few tokens each: some pairs are similar, some are not."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 50, tokens, dtype=np.uint64)
+    sets = []
+    for _ in range(n):
+        kept = base[rng.random(tokens) > rng.choice([0.02, 0.1, 0.2])]
+        sets.append(np.unique(np.append(kept, rng.integers(0, 1 << 50, tokens - len(kept), dtype=np.uint64))))
+    return sets
+
+
+def test_each_node_of_the_tree_is_reached_once(monkeypatch):
+    """A group of near copies costs a step per node, each with all sets at once, not one per pair."""
+    calls = []
+    shared = trie.PrefixTree._shared
+    monkeypatch.setattr(trie.PrefixTree, "_shared", lambda *a: calls.append(1) or shared(*a))
+    sets = _near_sets(300)
+    found = trie.linked(sets, list(range(300)), 80)
+    parent = list(range(300))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(np.intersect1d(a, sets[j], assume_unique=True))
+            if 180 * both >= 80 * (len(a) + len(sets[j])):
+                low, high = sorted((parent[i], parent[j]))
+                parent = [low if p == high else p for p in parent]
+    assert found == parent and 1 < len(set(parent)) < 300
+    assert len(calls) <= 2 * 300
+
+
+def test_a_large_cluster_is_sent_once_for_all_its_buckets(spark, monkeypatch):
+    """12 components meet in 40 buckets of all their 36 sets: more than a tree may hold, so blocks."""
+    monkeypatch.setattr(jaccard, "MOST_SETS", 16)
+    digests = [bytes([i]) * 16 for i in range(36)]
+    first = [(d, digests[i // 3 * 3]) for i, d in enumerate(digests)]
+    labelled = [(bytes([b]), d, label) for b in range(40) for d, label in first if d[0] != b]
+    across = jaccard._across(
+        spark.createDataFrame(labelled, "bucket binary, digest binary, label binary"),
+        spark.createDataFrame(first, "digest binary, label binary"),
+    ).collect()
+    assert len(across) == 36 * 3  # three parts, so three blocks for each set
+    blocks = {}
+    for row in across:
+        blocks.setdefault((row["bucket"], row["block"]), set()).add(bytes(row["digest"]))
+    assert all(any({a, b} <= block for block in blocks.values()) for a in digests for b in digests)
